@@ -7,6 +7,7 @@ import re
 from pressgauge import constants as C
 from testbed.queries import PROSE_THEMES
 from testbed.shared import with_clause
+from testbed.tables import GIVEN
 
 SPACE = "[\\t\\n\\x0B\\f\\r \\x{00a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{feff}]"
 HOST = r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^\s/:?#<>^|%@]+)(?:[/:?#]|$)"
@@ -404,6 +405,6 @@ def oracle_sql() -> dict[str, str]:
     ready = {}
     for name, sql in SQL.items():
         text = with_clause(sql)
-        text = re.sub(r"\{SHA\}", "sha256", text)
-        ready[name] = re.sub(r"\{(\w+)\}", r"\1", text) if "fx_" in sql else text
+        text = text.replace("{SHA}", "sha256")
+        ready[name] = re.sub(r"\{(" + "|".join(GIVEN) + r")\}", r"\1", text)
     return ready
