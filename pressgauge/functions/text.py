@@ -10,9 +10,16 @@ from pyspark.sql import functions as F
 from pressgauge import constants as C
 from pressgauge.functions.values import col_of
 
-# The white-space class that feeds and pages are collapsed with
-# (wider than Java's ASCII-only \s), and the markup patterns removed.
-WHITESPACE = "[\\t\\n\\x0B\\f\\r \\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\ufeff]"
+# The white space that feeds and pages are collapsed with (wider
+# than Java's ASCII-only \\s) and the markup patterns removed.
+WHITESPACE_CHARS = (
+    " \t\n\x0b\f\r\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
+WHITESPACE = f"[{WHITESPACE_CHARS}]"
+# Runs worth replacing: the look-aheads pass over printable ASCII, and over
+# single blanks before it, without trying the wide class on every character.
+WHITESPACE_RUN = f"(?![!-~])(?! [!-~]){WHITESPACE}+"
 HIDDEN_BLOCKS = (
     r"(?i)<script[^>]*>[\s\S]*?</script>",
     r"(?i)<style[^>]*>[\s\S]*?</style>",
@@ -24,12 +31,12 @@ ENTITIES = (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"))
 
 def collapse_space(text: Column | str) -> Column:
     """Runs of white space become one blank; the ends are trimmed."""
-    return F.trim(F.regexp_replace(col_of(text), WHITESPACE + "+", " "))
+    return F.trim(F.regexp_replace(col_of(text), WHITESPACE_RUN, " "))
 
 
 def trim_space(text: Column | str) -> Column:
     """Trim the wide white-space class from both ends only."""
-    return F.regexp_replace(col_of(text), f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.btrim(col_of(text), F.lit(WHITESPACE_CHARS))
 
 
 def strip_markup(html: Column | str) -> Column:

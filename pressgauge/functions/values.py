@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,3 +24,13 @@ def rounded_avg(value: Column | str) -> Column:
 def week_of(ts: Column | str) -> Column:
     """Monday 00:00 of the week holding ``ts``."""
     return F.date_trunc("week", col_of(ts))
+
+
+def with_computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters and projections may use freely.
+
+    Catalyst copies a column's expression into every filter it pushes down,
+    which would run a regular-expression chain once per use. A generator is a
+    boundary filters stay above, so the value is computed once per row.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))

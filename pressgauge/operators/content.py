@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pressgauge import constants as C
 from pressgauge.functions.text import long_enough
 from pressgauge.functions.urls import article_domain
-from pressgauge.functions.values import col_of
+from pressgauge.functions.values import col_of, with_computed
 
 
 def min_length(df: DataFrame, column: str, n: int = C.CONTENT_MIN_CHARS) -> DataFrame:
@@ -33,7 +33,7 @@ def theme_matches(
     Each theme is a native predicate over one lower-cased column, so articles
     are read once and never joined with the phrase list.
     """
-    lowered = articles.select(key, F.lower(col_of(text)).alias("_text"))
+    lowered = with_computed(articles.select(key, text), "_text", F.lower(col_of(text)))
 
     def occurs(phrase: str) -> Column:
         return F.contains("_text", F.lit(phrase.lower()))
@@ -43,7 +43,7 @@ def theme_matches(
         return any_phrase & occurs(required) if required else any_phrase
 
     hits = F.array_compact(F.array(*[F.when(matched(p, r), F.lit(t)) for t, p, r in themes]))
-    return lowered.select(key, hits.alias("_themes")).select(key, F.explode("_themes").alias("theme"))
+    return lowered.select(key, F.explode_outer(hits).alias("theme")).filter("theme is not null")
 
 
 def with_feed(items: DataFrame, feed_rows: DataFrame) -> DataFrame:

@@ -10,11 +10,10 @@ from pressgauge.functions.dates import date_is_bad, parse_published
 from pressgauge.functions.text import (
     content_hash,
     detect_language,
-    html_to_text,
     is_truncated,
     strip_markup,
 )
-from pressgauge.functions.values import first_truthy
+from pressgauge.functions.values import first_truthy, with_computed
 from pressgauge.operators.content import all_candidates, min_length
 from pressgauge.operators.dedup import ORDER, first_wins, known_hashes
 
@@ -25,10 +24,11 @@ def with_page_text(items: DataFrame, pages: DataFrame) -> DataFrame:
     Text is extracted in the page scan, below the join, so the exchange carries
     the cut text and never the HTML. Pages are one row per URL.
     """
-    texts = pages.select(
+    full = with_computed(pages.select("url", "html"), "full_text", strip_markup("html"))
+    texts = full.select(
         F.col("url").alias("article_url"),
-        html_to_text("html").alias("body_text"),
-        F.length(strip_markup("html")).alias("content_length_full"),
+        F.substring("full_text", 1, C.CONTENT_MAX_CHARS).alias("body_text"),
+        F.length("full_text").alias("content_length_full"),
     )
     return items.join(min_length(texts, "body_text"), "article_url")
 

@@ -80,7 +80,7 @@ def stream_weekly(scans: DataFrame, store: str, mart: str, checkpoint: str) -> S
         keyed = batch.withColumns(
             {"week_start": F.to_date(week_of("scanned_at")), "batch_id": F.lit(batch_id)}
         )
-        keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        keyed.hint("rebalance", "week_start").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "week_start", "batch_id"
         ).parquet(store)
         full = spark.read.schema(stored).parquet(store)
