@@ -86,7 +86,7 @@ def fallback_ads(
 
 def ads_per_term(ads: DataFrame, grid: DataFrame, k: int = C.ADS_PER_TERM) -> DataFrame:
     """At most ``k`` ads per term over all its countries, the first country filling first."""
-    placed = ads.join(F.broadcast(grid), PAGE)  # grid: fixed seed list
+    placed = ads.join(grid, PAGE)
     return top_k(placed, ["term"], ["country_ordinal", "container_pos"], k)
 
 

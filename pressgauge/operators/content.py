@@ -47,8 +47,8 @@ def theme_matches(
 
 
 def with_feed(items: DataFrame, feed_rows: DataFrame) -> DataFrame:
-    """Feed metadata on each item; ``feed_rows`` is the fixed seed list."""
-    return items.join(F.broadcast(feed_rows), "feed_url").select(
+    """Feed metadata on each item; feeds that are not listed drop out."""
+    return items.join(feed_rows, "feed_url").select(
         F.lit("rss_article").alias("source_type"),
         "feed_url",
         F.col("name").alias("publisher_name"),

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from pressgauge.functions.values import week_of
 
 
-def append_candidates(candidates: DataFrame, path: str, day: str = "fetched_at") -> None:
-    """Append queue rows, partitioned by the day they were fetched."""
-    candidates.withColumn("queued_on", F.to_date(day)).write.mode("append").partitionBy(
+def append_candidates(candidates: DataFrame, path: str, run: str, day: str = "fetched_at") -> None:
+    """Append one run's queue rows, partitioned by the day they were fetched.
+
+    A run owns its directory, so repeating it replaces its own rows.
+    """
+    candidates.withColumn("queued_on", F.to_date(day)).write.mode("overwrite").partitionBy(
         "queued_on"
-    ).parquet(path)
+    ).option("partitionOverwriteMode", "static").parquet(f"{path}/run={run}")
 
 
 def write_scans(scans: DataFrame, tactics_of, path: str, run: str) -> None:

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressgauge.functions.tactics import response_field, response_tactics
+from pressgauge.functions.values import with_computed
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:
     """Adds the scored fields and the ``tactics`` variants; the body is kept as ``raw_output``.
 
-    A body that is not JSON leaves every field NULL.
+    A body that is not JSON leaves every field NULL; each body is parsed once.
     """
-    body = F.try_parse_json("body")
     return (
-        responses.withColumn("doc", body)
+        with_computed(responses, "doc", F.try_parse_json("body"))
         .withColumns(
             {
                 "spi_score": response_field(F.col("doc"), "spi_score", "int"),

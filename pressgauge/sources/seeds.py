@@ -1,7 +1,7 @@
 """Seed dimensions built from the fixed lists.
 
-They are local relations of known, constant size, so a broadcast of one of
-them is always bounded.
+They are local relations whose size the planner knows, so joins with them are
+broadcast by the session's threshold and need no hint.
 """
 
 from __future__ import annotations

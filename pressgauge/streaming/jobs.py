@@ -20,18 +20,20 @@ from pressgauge.streaming.common import batch_dir, earlier_batches, ensure_table
 def stream_candidates(stream: DataFrame, path: str, checkpoint: str, order=ORDER) -> StreamingQuery:
     """Continuous ingest with one row per content hash for the life of the sink.
 
-    The first copy in a batch wins, then hashes of earlier batches are removed.
-    The look-back reads the hash column only; no operator state grows.
+    The first copy in a batch wins, then hashes of earlier batches are removed;
+    no operator state grows. The history is first cut down to the batch's own
+    hashes: a small batch is broadcast to the history's hash column, which then
+    is scanned but not shuffled, and a large one filters it before the shuffle.
     """
     schema = stream.schema
     ensure_table(stream.sparkSession, schema, path)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         held = earlier_batches(batch.sparkSession, schema, path, batch_id).select("content_hash")
-        fresh = first_wins(batch, ["content_hash"], order)
-        fresh.join(held, "content_hash", "left_anti").write.mode("overwrite").parquet(
-            batch_dir(path, batch_id)
-        )
+        seen = held.join(batch.select("content_hash").distinct(), "content_hash", "left_semi")
+        first_wins(batch, ["content_hash"], order).join(seen, "content_hash", "left_anti").write.mode(
+            "overwrite"
+        ).parquet(batch_dir(path, batch_id))
 
     return start(stream, handle, checkpoint)
 
@@ -41,12 +43,13 @@ def stream_status(
 ) -> StreamingQuery:
     """Append status events of items the queue knows to the event log.
 
-    ``queue`` is a snapshot with one row per item and is the build side.
+    ``queue`` is a snapshot with one row per item. The inner join leaves Spark
+    free to broadcast whichever side is small, which mostly is the batch.
     """
     known = queue.select("item_id")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.join(known, "item_id", "left_semi").write.mode("overwrite").parquet(
+        batch.join(known, "item_id").select(*batch.columns).write.mode("overwrite").parquet(
             batch_dir(path, batch_id)
         )
 

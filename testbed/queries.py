@@ -334,8 +334,8 @@ def queue_candidates(s, d):
     queued, scanned = fx(s, d, "known_queue", "known_scans")
     rows = ingest.new_queue_rows(_run_candidates(s, d), queued, scanned)
     path = scratch_dir(s, "queue")
-    sinks.append_candidates(rows, path)
-    return s.read.parquet(path).drop("queued_on", "body_text", "published_bad", "region", "fetched_at")
+    sinks.append_candidates(rows, path, "r1")
+    return s.read.parquet(path).drop("run", "queued_on", "body_text", "published_bad", "region", "fetched_at")
 
 
 # --- credibility --------------------------------------------------------------

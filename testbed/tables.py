@@ -84,7 +84,7 @@ def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    return packed.join(F.broadcast(feeds), "ordinal").select("feed_url", "fetched_at", body.alias("body"))
+    return packed.join(feeds, "ordinal").select("feed_url", "fetched_at", body.alias("body"))
 
 
 def discovery_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
