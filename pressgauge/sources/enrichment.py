@@ -17,7 +17,7 @@ CORPUS_SCHEMA = (
 
 def read_enrichment_files(spark: SparkSession, path: str) -> DataFrame:
     """Corpus files as payload rows ``(payload_no, body)``, numbered by file name order in Spark."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("payload_no"), F.col("value").alias("body")
     )
 

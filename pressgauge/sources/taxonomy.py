@@ -31,8 +31,7 @@ def split_lines(documents: DataFrame) -> DataFrame:
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     """Lines of the definition documents below ``path``."""
     return split_lines(
-        spark.read.option("wholetext", True)
-        .text(path)
+        spark.read.text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
     )
 
