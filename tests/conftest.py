@@ -13,7 +13,12 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
-    session = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": str(shared)})
+    settings = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.maxMetadataStringLength": "10000",  # plan tests read whole plan lines
+        "spark.checkpoint.dir": str(shared),
+    }
+    session = local_session(4, "tests", **settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
