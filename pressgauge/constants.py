@@ -109,6 +109,33 @@ FEEDS = (
     ("https://www.france24.com/en/rss", "France24", "france24.com", "FR", "Mainstream", "General"),
 )
 
+# --- fixed values: feeds of the older crawler, same columns ----------------
+LEGACY_FEEDS = (
+    ("https://www.news24.com/rss", "News24", "news24.com", "ZA", "Mainstream", "General"),
+    ("https://www.dailymaverick.co.za/feed", "Daily Maverick", "dailymaverick.co.za", "ZA", "Mainstream", "General"),
+    ("https://ewn.co.za/RSS", "EWN", "ewn.co.za", "ZA", "Mainstream", "General"),
+    ("https://www.businessinsider.co.za/feed", "BusinessInsider ZA", "businessinsider.co.za", "ZA", "Business", "Finance"),
+    ("https://www.politicsweb.co.za/rss", "PoliticsWeb", "politicsweb.co.za", "ZA", "Political", "Politics"),
+    ("https://allafrica.com/tools/headlines/rdf/africa/headlines.rdf", "AllAfrica", "allafrica.com", "INTL", "Mainstream", "General"),
+    ("https://www.theafricareport.com/feed", "Africa Report", "theafricareport.com", "INTL", "Mainstream", "General"),
+    ("https://feeds.theguardian.com/theguardian/world/rss", "The Guardian", "theguardian.com", "GB", "Broadsheet", "General"),
+    ("https://www.telegraph.co.uk/rss.xml", "The Telegraph", "telegraph.co.uk", "GB", "Broadsheet", "General"),
+    ("https://www.dailymail.co.uk/articles.rss", "Daily Mail", "dailymail.co.uk", "GB", "Tabloid", "General"),
+    ("https://rss.nytimes.com/services/xml/rss/nyt/World.xml", "NYT World", "nytimes.com", "US", "Broadsheet", "General"),
+    ("https://feeds.washingtonpost.com/rss/world", "Washington Post", "washingtonpost.com", "US", "Broadsheet", "General"),
+    ("https://moxie.foxnews.com/google-publisher/latest.xml", "Fox News", "foxnews.com", "US", "Cable News", "Politics"),
+    ("https://www.breitbart.com/feed", "Breitbart", "breitbart.com", "US", "Far Right", "Politics"),
+    ("https://www.rt.com/rss/", "RT", "rt.com", "RU", "State Media", "General"),
+    ("https://www.globaltimes.cn/rss/outbrain.xml", "Global Times", "globaltimes.cn", "CN", "State Media", "General"),
+    ("https://english.aljazeera.net/xml/rss/all.xml", "Al Jazeera", "aljazeera.com", "QA", "State Media", "General"),
+    ("https://www.voanews.com/api/zkyiqkemii", "VOA News", "voanews.com", "US", "State Media", "General"),
+    ("https://www.naturalnews.com/rss.xml", "Natural News", "naturalnews.com", "US", "Alt Health", "Health"),
+    ("https://childrenshealthdefense.org/feed/", "Children's Health Defense", "childrenshealthdefense.org", "US", "Alt Health", "Health"),
+    ("https://www.zerohedge.com/fullrss2.xml", "ZeroHedge", "zerohedge.com", "US", "Alt Finance", "Finance"),
+    ("https://www.dw.com/rss/rss/eng-top.xml", "DW English", "dw.com", "DE", "Broadsheet", "General"),
+    ("https://rss.france24.com/rss/en/news", "France24", "france24.com", "FR", "Mainstream", "General"),
+)
+
 # --- fixed values: audience routing of pattern id ranges (prefix, low, high, audience)
 AUDIENCE_RANGES = (
     ("A", 11, 13, "data_product"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressgauge import constants as C
@@ -66,6 +66,15 @@ def assemble_ads(
     return cards if per_page is None else top_k(cards, PAGE, ["container_pos"], per_page)
 
 
+def _usable_blocks(blocks: DataFrame, min_len: int) -> DataFrame:
+    trimmed = blocks.withColumn("ad_text", trim_space("text"))
+    return trimmed.filter(
+        (F.length("ad_text") >= min_len)
+        & ~F.contains("ad_text", F.lit("Log in"))
+        & ~F.contains("ad_text", F.lit("Facebook"))
+    ).select(*CARD, "ad_text", F.lit(UNKNOWN_ADVERTISER).alias("advertiser_name"))
+
+
 def fallback_ads(
     blocks: DataFrame,
     primary: DataFrame,
@@ -73,14 +82,32 @@ def fallback_ads(
     min_len: int = C.AD_MIN_CHARS,
 ) -> DataFrame:
     """Large text blocks of pages where no card was found."""
-    usable = blocks.withColumn("ad_text", trim_space("text")).filter(
-        (F.length("ad_text") >= min_len)
-        & ~F.contains("ad_text", F.lit("Log in"))
-        & ~F.contains("ad_text", F.lit("Facebook"))
+    missed = _usable_blocks(blocks, min_len).join(primary.select(*PAGE).distinct(), PAGE, "left_anti")
+    return top_k(missed, PAGE, ["container_pos"], per_page)
+
+
+def page_ads(
+    nodes: DataFrame,
+    blocks: DataFrame,
+    per_page: int = C.ADS_PER_PAGE,
+    min_len: int = C.AD_MIN_CHARS,
+) -> DataFrame:
+    """Ads of every page, cards where there are any and fallback blocks elsewhere.
+
+    Same rows as the two functions above together, but cards are assembled
+    once: cards rank before blocks, and of the few rows kept per page only
+    those of the better kind stay.
+    """
+    both = (
+        assemble_ads(nodes, None, min_len)
+        .withColumn("_kind", F.lit(0))
+        .unionByName(_usable_blocks(blocks, min_len).withColumn("_kind", F.lit(1)))
     )
-    missed = usable.join(primary.select(*PAGE).distinct(), PAGE, "left_anti")
-    return top_k(missed, PAGE, ["container_pos"], per_page).select(
-        *CARD, "ad_text", F.lit(UNKNOWN_ADVERTISER).alias("advertiser_name")
+    best = top_k(both, PAGE, ["_kind", "container_pos"], per_page)
+    return (
+        best.withColumn("_best", F.min("_kind").over(Window.partitionBy(*PAGE)))
+        .filter(F.col("_kind") == F.col("_best"))
+        .drop("_kind", "_best")
     )
 
 

@@ -58,20 +58,24 @@ def run_outcomes(candidates: DataFrame, queued: DataFrame, scanned: DataFrame) -
     Copies of one text are counted per hash before the join, so neither the
     exchange nor the join sees more than one row per (hash, source type) and
     task. Of the copies of a new hash the first is queued; the others find it
-    in the queue.
+    in the queue. Rows without a hash never became candidates and are counted
+    under the outcome in their ``lost`` column, where there is one.
     """
-    per_type = (
-        candidates.groupBy("content_hash", "source_type")
-        .agg(F.count("*").alias("copies"), F.min(F.struct(*ORDER)).alias("first_seen"))
+    lost = F.col("lost") if "lost" in candidates.columns else F.lit(None).cast("string")
+    per_type = candidates.groupBy("content_hash", "source_type", lost.alias("lost")).agg(
+        F.count("*").alias("copies"), F.min(F.struct(*ORDER)).alias("first_seen")
     )
-    first_type = per_type.groupBy("content_hash").agg(
-        F.min_by("source_type", "first_seen").alias("first_type")
+    first_type = (
+        per_type.filter("content_hash is not null")
+        .groupBy("content_hash")
+        .agg(F.min_by("source_type", "first_seen").alias("first_type"))
     )
-    judged = per_type.join(first_type, "content_hash").join(
+    judged = per_type.join(first_type, "content_hash", "left").join(
         known_hashes(queued, scanned), "content_hash", "left"
     )
-    fresh = F.col("reason").isNull() & (F.col("source_type") == F.col("first_type"))
-    accepted = F.when(fresh, 1).otherwise(0)
+    is_first = F.col("reason").isNull() & (F.col("source_type") == F.col("first_type"))
+    accepted = F.when(is_first, 1).otherwise(0)
+    reason = F.when(F.col("lost").isNull(), F.coalesce("reason", F.lit("queued")))
     return (
         judged.select(
             "source_type",
@@ -83,8 +87,8 @@ def run_outcomes(candidates: DataFrame, queued: DataFrame, scanned: DataFrame) -
                         accepted.cast("long").alias("items"),
                     ),
                     F.struct(
-                        F.lit("skipped").alias("outcome"),
-                        F.coalesce("reason", F.lit("queued")).alias("skip_reason"),
+                        F.coalesce("lost", F.lit("skipped")).alias("outcome"),
+                        reason.alias("skip_reason"),
                         (F.col("copies") - accepted).alias("items"),
                     ),
                 )

@@ -71,12 +71,15 @@ def tactic_spi_corr(tactics: DataFrame, scans: DataFrame) -> DataFrame:
 
 
 def tactic_rollup(tactics: DataFrame) -> DataFrame:
-    """Rows per pattern prefix and code, with category totals and a grand total."""
+    """Rows per pattern prefix and code, with category totals and a grand total.
+
+    Codes are counted first, so the rollup expands one row per code.
+    """
+    per_code = tactics.filter("tactic_code is not null").groupBy("tactic_code").agg(F.count("*").alias("n"))
     return (
-        tactics.filter("tactic_code is not null")
-        .select(F.substring("tactic_code", 1, 1).alias("prefix"), "tactic_code")
+        per_code.withColumn("prefix", F.substring("tactic_code", 1, 1))
         .rollup("prefix", "tactic_code")
-        .agg(F.count("*").alias("occurrences"), F.grouping_id().cast("int").alias("level"))
+        .agg(F.sum("n").alias("occurrences"), F.grouping_id().cast("int").alias("level"))
     )
 
 

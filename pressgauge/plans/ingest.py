@@ -10,12 +10,14 @@ from pressgauge.functions.dates import date_is_bad, parse_published
 from pressgauge.functions.text import (
     content_hash,
     detect_language,
+    html_to_text,
     is_truncated,
+    long_enough,
     strip_markup,
 )
 from pressgauge.functions.values import first_truthy, with_computed
 from pressgauge.operators.content import all_candidates, min_length
-from pressgauge.operators.dedup import ORDER, first_wins, known_hashes
+from pressgauge.operators.dedup import ORDER, first_wins, known_hashes, run_outcomes
 
 
 def with_page_text(items: DataFrame, pages: DataFrame) -> DataFrame:
@@ -33,6 +35,26 @@ def with_page_text(items: DataFrame, pages: DataFrame) -> DataFrame:
     return items.join(min_length(texts, "body_text"), "article_url")
 
 
+def ingest_summary(
+    items: DataFrame, pages: DataFrame, queued: DataFrame, scanned: DataFrame
+) -> DataFrame:
+    """What became of every article item of a run, per source type.
+
+    An item whose page was not landed is an ``error``, one with too little text
+    is ``too_short``; the rest are queued or skipped. Only hashes and lengths
+    leave the page scan.
+    """
+    full = with_computed(pages.select("url", "html"), "body_text", html_to_text("html"))
+    texts = full.select(
+        F.col("url").alias("article_url"),
+        long_enough("body_text").alias("usable"),
+        F.when(long_enough("body_text"), content_hash("body_text")).alias("content_hash"),
+    )
+    state = F.when(F.col("usable").isNull(), "error").when(~F.col("usable"), "too_short")
+    judged = items.select("source_type", "article_url", *ORDER).join(texts, "article_url", "left")
+    return run_outcomes(judged.withColumn("lost", state), queued, scanned)
+
+
 def with_content_fields(items: DataFrame) -> DataFrame:
     """Hash, length, truncation and language of the stored text."""
     language = detect_language("body_text")

@@ -29,11 +29,11 @@ def values_frame(spark: SparkSession, rows: Sequence[Sequence[object]], columns:
     return spark.sql(f"select * from values {body} as t({columns})")
 
 
-def feeds(spark: SparkSession) -> DataFrame:
-    """Feeds with their ordinal, which is the ingest order."""
+def feeds(spark: SparkSession, legacy: bool = False) -> DataFrame:
+    """Feeds with their ordinal, which is the ingest order; ``legacy`` gives the older list."""
     return values_frame(
         spark,
-        [(i, *row) for i, row in enumerate(C.FEEDS)],
+        [(i, *row) for i, row in enumerate(C.LEGACY_FEEDS if legacy else C.FEEDS)],
         "ordinal, feed_url, name, domain, country, media_class, topic_class",
     )
 

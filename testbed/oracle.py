@@ -246,12 +246,26 @@ SQL: dict[str, str] = {
         case source_type when 'facebook_ad' then 'US' end as ad_country from fx_candidates""",
     "ad_texts": AD_TEXTS,
     "ad_fallback": AD_FALLBACK,
+    "page_ads": f"({AD_TEXTS}) union all ({AD_FALLBACK})",
     "ads_topk": ADS_TOPK,
     "ad_candidates": AD_CANDIDATES,
     "all_candidates": f"""select {ALL_FIELDS}, cast(null as varchar) as region, cast(null as varchar) as search_term
           from ({FEED_CANDIDATES}) f
         union all select {ALL_FIELDS}, null, null from ({DISCOVERY_CANDIDATES}) d
         union all select {ALL_FIELDS}, region, search_term from ({AD_CANDIDATES}) a""",
+    "ingest_summary": f"""select source_type, outcome, skip_reason, count(*) as items from (
+        select c.source_type,
+          case when c.body is null then 'error' when length(c.body) < 200 then 'too_short'
+               when k.reason is null and c.rn = 1 then 'queued' else 'skipped' end as outcome,
+          case when c.body is null or length(c.body) < 200 or (k.reason is null and c.rn = 1) then null
+               else coalesce(k.reason, 'queued') end as skip_reason
+        from (select i.source_type, p.body, sha256(p.body) as content_hash,
+                row_number() over (partition by p.body order by fetched_at, phase, feed_ordinal, item_pos) as rn
+              from (select source_type, article_url, fetched_at, phase, feed_ordinal, item_pos from ({FEED_CANDIDATES}) f
+                    union all select source_type, article_url, fetched_at, phase, feed_ordinal, item_pos
+                    from ({DISCOVERY_CANDIDATES}) d) i
+              left join (select url, substr({html_text('html')}, 1, 8000) as body from fx_pages) p on p.url = i.article_url) c
+        left join ({KNOWN}) k on k.content_hash = c.content_hash) o group by 1, 2, 3""",
     "queue_candidates": f"select * exclude (fetched_at) from ({QUEUE}) q",
     "enrichment_upsert": UPSERT,
     "enrichment_preview": f"""select domain, mbfc_bias, mbfc_factuality, mbfc_credibility from ({UPSERT}) u

@@ -295,15 +295,14 @@ def ad_fallback(s, d):
     return ads.fallback_ads(blocks, ads.assemble_ads(nodes))
 
 
-def _all_ads(s, d):
-    nodes, blocks = fx(s, d, "ad_nodes", "ad_blocks")
-    cards = ads.assemble_ads(nodes)
-    return cards.unionByName(ads.fallback_ads(blocks, cards))
+@query
+def page_ads(s, d):
+    return ads.page_ads(*fx(s, d, "ad_nodes", "ad_blocks"))
 
 
 @query
 def ads_topk(s, d):
-    return ads.ads_per_term(_all_ads(s, d), seeds.search_terms(s))
+    return ads.ads_per_term(page_ads(s, d), seeds.search_terms(s))
 
 
 @query
@@ -323,16 +322,21 @@ def all_candidates(s, d):
     return every.select(*ARTICLE_FIELDS, "region", "search_term")
 
 
-def _run_candidates(s, d):
-    items = ingest.collect_run(articles_with_feed(s, d), discovery.discovery_candidates(_discovery(s, d)), start=0)
-    return ingest.article_candidates(items, fx(s, d, "pages"))
+def _run_items(s, d):
+    return ingest.collect_run(articles_with_feed(s, d), discovery.discovery_candidates(_discovery(s, d)), start=0)
+
+
+@query
+def ingest_summary(s, d):
+    pages, queued, scanned = fx(s, d, "pages", "known_queue", "known_scans")
+    return ingest.ingest_summary(_run_items(s, d), pages, queued, scanned)
 
 
 @query
 def queue_candidates(s, d):
     """The whole ingest plan, written to the queue table and read back."""
     queued, scanned = fx(s, d, "known_queue", "known_scans")
-    rows = ingest.new_queue_rows(_run_candidates(s, d), queued, scanned)
+    rows = ingest.new_queue_rows(ingest.article_candidates(_run_items(s, d), fx(s, d, "pages")), queued, scanned)
     path = scratch_dir(s, "queue")
     sinks.append_candidates(rows, path, "r1")
     return s.read.parquet(path).drop("run", "queued_on", "body_text", "published_bad", "region", "fetched_at")

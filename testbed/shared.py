@@ -191,11 +191,11 @@ TABLES: dict[str, str] = {
           cast('2024-01-01 05:00:00' as timestamp)
             + interval '1' minute * cast(doc_id % 100000 as int) as published_at
         from {documents}""",
-    # page sources of the feed items, beside the given pages
+    # page sources of the feed items, beside the given pages; German items were not found under their URL
     "fx_pages": """
         select url, html from {pages}
         union all
-        select concat('https://www.', source, '.example.com/a/', cast(doc_id as string)),
+        select concat(case when lang = 'de' then 'https://moved.' else 'https://www.' end, source, '.example.com/a/', cast(doc_id as string)),
           concat('<html><head><STYLE>p[m:0]</STYLE><script type="x">var t="</p>";</script></head><body><p>',
                  replace(replace(text, '&', '&amp;'), '<', '&lt;'), '</p>&nbsp;</body></html>')
         from {documents}""",
