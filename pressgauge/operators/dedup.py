@@ -65,15 +65,14 @@ def run_outcomes(candidates: DataFrame, queued: DataFrame, scanned: DataFrame) -
     per_type = candidates.groupBy("content_hash", "source_type", lost.alias("lost")).agg(
         F.count("*").alias("copies"), F.min(F.struct(*ORDER)).alias("first_seen")
     )
-    first_type = (
-        per_type.filter("content_hash is not null")
-        .groupBy("content_hash")
-        .agg(F.min_by("source_type", "first_seen").alias("first_type"))
-    )
-    judged = per_type.join(first_type, "content_hash", "left").join(
+    # at most one row per source type and hash is left, so this window stays tiny
+    earliest = F.min("first_seen").over(Window.partitionBy("content_hash"))
+    judged = per_type.withColumn("earliest", earliest).join(
         known_hashes(queued, scanned), "content_hash", "left"
     )
-    is_first = F.col("reason").isNull() & (F.col("source_type") == F.col("first_type"))
+    is_first = (
+        F.col("content_hash").isNotNull() & F.col("reason").isNull() & (F.col("first_seen") == F.col("earliest"))
+    )
     accepted = F.when(is_first, 1).otherwise(0)
     reason = F.when(F.col("lost").isNull(), F.coalesce("reason", F.lit("queued")))
     return (

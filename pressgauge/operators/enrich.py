@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pressgauge.functions.urls import lookup_key
 from pressgauge.functions.values import rounded_avg
+from pressgauge.operators.dedup import first_wins
 
 MEASURES = ("mbfc_bias", "mbfc_factuality", "mbfc_credibility")
 
@@ -60,10 +61,12 @@ def enrichment_coverage(scans: DataFrame, dimension: DataFrame) -> DataFrame:
 def upsert_snapshot(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """New snapshot: rows of ``new`` replace rows of ``old`` with the same key, whole rows at a time.
 
-    A plain anti-join against the keys of ``new``; both sides are one row per key.
+    One exchange over both sides; columns one side lacks are NULL.
     """
-    kept = old.join(new.select(key), key, "left_anti")
-    return kept.unionByName(new, allowMissingColumns=True)
+    both = new.withColumn("_age", F.lit(0)).unionByName(
+        old.withColumn("_age", F.lit(1)), allowMissingColumns=True
+    )
+    return first_wins(both, [key], ["_age"]).drop("_age")
 
 
 def preview(df: DataFrame, columns: list[str], n: int = 5) -> DataFrame:

@@ -98,20 +98,25 @@ def emerging_tactics(tactics: DataFrame, scans: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("occurrences"))
     )
     last_quarter = facts.agg(F.max("quarter").alias("q")).scalar()
-    grid = (
-        counts.groupBy("tactic_code")
-        .agg(F.min("quarter").alias("first_quarter"))
-        .withColumn("last_quarter", last_quarter)
-        .select(
-            "tactic_code",
-            "first_quarter",
-            F.explode(F.expr("sequence(first_quarter, last_quarter, interval 3 months)")).alias("quarter"),
-        )
-    )
     by_quarter = Window.partitionBy("tactic_code").orderBy("quarter")
-    filled = grid.join(counts, ["tactic_code", "quarter"], "left").withColumn(
-        "occurrences", F.coalesce("occurrences", F.lit(0).cast("bigint"))
+    # each counted quarter is followed by the quiet ones up to the next counted one
+    spans = counts.withColumns(
+        {
+            "next_quarter": F.lead("quarter").over(by_quarter),
+            "first_quarter": F.min("quarter").over(Window.partitionBy("tactic_code")),
+            "last_quarter": last_quarter,
+        }
     )
+    filled = spans.select(
+        "tactic_code",
+        "first_quarter",
+        F.col("occurrences").alias("n"),
+        F.posexplode(
+            F.expr(
+                "sequence(quarter, coalesce(next_quarter - interval 3 months, last_quarter), interval 3 months)"
+            )
+        ).alias("step", "quarter"),
+    ).withColumn("occurrences", F.when(F.col("step") == 0, F.col("n")).otherwise(F.lit(0).cast("bigint")))
     return filled.select(
         "tactic_code",
         "quarter",

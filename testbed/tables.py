@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from testbed.shared import TABLES, with_clause
 
@@ -15,16 +16,22 @@ GIVEN = (
 )
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is inferred from the files once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def spark_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run portable SQL against the given tables below ``sf_dir``."""
     text = re.sub(r"\{SHA\}\(([^()]*)\)", r"sha2(\1, 256)", with_clause(sql))
-    for name in GIVEN:
-        text = text.replace("{" + name + "}", f"parquet.`{sf_dir}/{name}.parquet`")
-    return spark.sql(text)
+    used = [name for name in GIVEN if "{" + name + "}" in text]
+    return spark.sql(text, **{name: given(spark, sf_dir, name) for name in used})
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
