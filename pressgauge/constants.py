@@ -136,22 +136,22 @@ LEGACY_FEEDS = (
     ("https://rss.france24.com/rss/en/news", "France24", "france24.com", "FR", "Mainstream", "General"),
 )
 
-# --- fixed values: audience routing of pattern id ranges (prefix, low, high, audience)
+# --- fixed values: audience routing of pattern id ranges (prefix, low, high, audiences)
 AUDIENCE_RANGES = (
-    ("A", 11, 13, "data_product"),
-    ("A", 18, 18, "data_product"),
-    ("A", 16, 17, "consumer"),
-    ("A", 20, 20, "consumer"),
-    ("A", 14, 15, "compliance"),
-    ("A", 19, 19, "compliance"),
-    ("C", 1, 25, "aggregate"),
-    ("C", 3, 4, "regulatory_trigger"),
-    ("C", 6, 6, "regulatory_trigger"),
-    ("C", 9, 10, "regulatory_trigger"),
-    ("C", 14, 14, "regulatory_trigger"),
-    ("C", 21, 22, "regulatory_trigger"),
-    ("I", 1, 15, "data_product"),
-    ("O", 1, 7, "financial_compliance"),
-    ("O", 8, 11, "procurement"),
-    ("O", 12, 15, "securities_compliance"),
+    ("A", 11, 13, ("data product", "media ratings")),
+    ("A", 18, 18, ("data product", "media ratings")),
+    ("A", 16, 17, ("consumer",)),
+    ("A", 20, 20, ("consumer",)),
+    ("A", 14, 15, ("compliance", "procurement")),
+    ("A", 19, 19, ("compliance", "procurement")),
+    ("C", 1, 25, ("aggregate",)),
+    ("C", 3, 4, ("regulatory trigger",)),
+    ("C", 6, 6, ("regulatory trigger",)),
+    ("C", 9, 10, ("regulatory trigger",)),
+    ("C", 14, 14, ("regulatory trigger",)),
+    ("C", 21, 22, ("regulatory trigger",)),
+    ("I", 1, 15, ("government", "data product", "media ratings")),
+    ("O", 1, 7, ("financial services",)),
+    ("O", 8, 11, ("procurement",)),
+    ("O", 12, 15, ("compliance", "media ratings", "securities regulation")),
 )

@@ -73,13 +73,17 @@ def detect_language(text: Column | str) -> Column:
     def hits(cues: tuple[str, ...]) -> Column:
         return reduce(lambda a, b: a + b, [F.contains(sample, F.lit(cue)).cast("int") for cue in cues])
 
-    lang = F.lit(C.DEFAULT_LANGUAGE)
-    for code, cues, needed in reversed(C.LANGUAGE_CUES):
-        lang = F.when(hits(cues) >= needed, F.lit(code)).otherwise(lang)
+    # Every cue is tested once, outside any branch, so the lower-cased sample is
+    # shared; the language with the highest precedence wins, 0 being the default.
+    ranked = tuple(reversed(C.LANGUAGE_CUES))
+    winner = F.greatest(
+        *[F.when(hits(cues) >= needed, F.lit(i + 1)).otherwise(0) for i, (_, cues, needed) in enumerate(ranked)]
+    )
+    languages = F.array(F.lit(C.DEFAULT_LANGUAGE), *[F.lit(code) for code, _, _ in ranked])
     return F.struct(
-        lang.alias("lang"),
+        F.get(languages, winner).alias("lang"),
         F.lit("heuristic").alias("confidence"),
-        (lang == C.DEFAULT_LANGUAGE).alias("in_distribution"),
+        (winner == 0).alias("in_distribution"),
     )
 
 

@@ -117,8 +117,8 @@ def ads_per_term(ads: DataFrame, grid: DataFrame, k: int = C.ADS_PER_TERM) -> Da
     return top_k(placed, ["term"], ["country_ordinal", "container_pos"], k)
 
 
-def ad_candidates(ads: DataFrame) -> DataFrame:
-    """Queue fields of placed ads."""
+def ad_candidates(ads: DataFrame, fetched_at: Column) -> DataFrame:
+    """Queue fields of the ads placed by the run that started at ``fetched_at``."""
     in_us = F.col("country") == "US"
     url = F.concat(
         F.lit("https://www.facebook.com/ads/library/?active_status=active&ad_type=all&country="),
@@ -150,7 +150,7 @@ def ad_candidates(ads: DataFrame) -> DataFrame:
         "advertiser_name",
         F.col("term").alias("search_term"),
         F.col("country").alias("ad_country"),
-        F.lit("pending").alias("status"),
+        fetched_at.alias("fetched_at"),
         F.lit(2).alias("phase"),
         F.col("term_ordinal").alias("feed_ordinal"),
         (F.col("country_ordinal") * 1_000_000_000_000 + F.col("container_pos")).alias("item_pos"),

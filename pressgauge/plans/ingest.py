@@ -78,16 +78,22 @@ def with_content_fields(items: DataFrame) -> DataFrame:
 
 
 def with_queue_constants(candidates: DataFrame) -> DataFrame:
-    """Status and version stamps of a new queue row."""
+    """Defaults, status, queue time and version stamps of a new queue row.
+
+    Ads carry no queue time, so they are claimed after everything that has one.
+    """
     none = F.lit(None).cast("string")
+    region = F.col("region") if "region" in candidates.columns else none
     return candidates.withColumns(
         {
             "publisher_name": first_truthy("publisher_name", "article_domain"),
             "publisher_domain": first_truthy("publisher_domain", "article_domain"),
+            "region": region,
             "country": first_truthy("country", none),
             "media_class": first_truthy("media_class", none),
             "topic_class": first_truthy("topic_class", none),
             "status": F.lit("pending"),
+            "queued_at": F.when(F.col("source_type") != "facebook_ad", F.col("fetched_at")),
             "analyzer_version": F.lit(C.ANALYZER_VERSION),
             "taxonomy_version": F.lit(C.TAXONOMY_VERSION),
             "prompt_version": F.lit(C.PROMPT_VERSION),

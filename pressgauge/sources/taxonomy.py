@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressgauge import constants as C
+from pressgauge.sources.seeds import values_frame
 
 # Line formats of the document.
 PATTERN_LINE = r"^([A-Z]\d{2}) \| (.+)$"
@@ -95,11 +96,12 @@ def display_names(lines: DataFrame) -> DataFrame:
 
 def audience_routing(spark: SparkSession) -> DataFrame:
     """One row per (pattern id, audience) from the fixed ranges."""
-    from pressgauge.sources.seeds import values_frame
-
-    ranges = values_frame(spark, C.AUDIENCE_RANGES, "prefix, low, high, audience")
-    return ranges.select(
-        F.explode(F.sequence("low", "high")).alias("number"), "prefix", "audience"
-    ).select(
-        F.concat("prefix", F.lpad(F.col("number").cast("string"), 2, "0")).alias("pattern_id"), "audience"
+    rows = [(prefix, low, high, name) for prefix, low, high, names in C.AUDIENCE_RANGES for name in names]
+    return (
+        values_frame(spark, rows, "prefix, low, high, audience")
+        .select("prefix", "audience", F.explode(F.sequence("low", "high")).alias("number"))
+        .select(
+            F.concat("prefix", F.lpad(F.col("number").cast("string"), 2, "0")).alias("pattern_id"),
+            "audience",
+        )
     )

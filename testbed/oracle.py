@@ -114,8 +114,8 @@ AD_CANDIDATES = f"""select sha256(ad_text) as content_hash, 'facebook_ad' as sou
   'facebook_ad' as media_class, category as topic_class, {AD_URL} as article_url, 'facebook.com' as article_domain,
   substr(ad_text, 1, 200) as headline_text, ad_text as body_text, cast(length(ad_text) as int) as content_length,
   false as truncated, 'facebook_ad_body' as content_extraction_type, 'en' as language, 'assumed' as language_confidence,
-  true as in_distribution, advertiser_name, term as search_term, country as ad_country, 'pending' as status,
-  2 as phase, term_ordinal as feed_ordinal, country_ordinal * 1000000000000 + container_pos as item_pos
+  true as in_distribution, advertiser_name, term as search_term, country as ad_country,
+  timestamp '2024-01-01 00:00:00' as fetched_at, 2 as phase, term_ordinal as feed_ordinal, country_ordinal * 1000000000000 + container_pos as item_pos
   from ({ADS_TOPK}) a"""
 
 FEED_CANDIDATES = f"""select 'rss_article' as source_type, feed_url, name as publisher_name, domain as publisher_domain, country,
@@ -128,13 +128,13 @@ DISCOVERY_CANDIDATES = f"""select 'gdelt_article' as source_type, cast(null as v
   1 as phase, theme_ordinal as feed_ordinal, fetched_at, pos as item_pos, seen_at as published_at from ({DISCOVERY}) d"""
 ALL_FIELDS = "source_type, publisher_name, publisher_domain, country, media_class, topic_class, article_url, article_domain, headline_text, phase"
 
-QUEUE = f"""select * exclude (rn) from (
+QUEUE = f"""select * exclude (rn), 'pending' as status, 'vnext_haiku_2026_03' as analyzer_version,
+  'v1.0' as taxonomy_version, 'crawler_v1.0' as prompt_version from (
   select *, row_number() over (partition by content_hash order by fetched_at, phase, feed_ordinal, item_pos) as rn from (
     select c.*, sha256(p.body) as content_hash, cast(length(p.body) as int) as content_length,
       cast(p.full_length as int) as content_length_full, length(p.body) >= 8000 as truncated,
       'html_strip' as content_extraction_type, {language('p.body')} as language, 'heuristic' as language_confidence,
-      {language('p.body')} = 'en' as in_distribution, 'pending' as status, 'vnext_haiku_2026_03' as analyzer_version,
-      'v1.0' as taxonomy_version, 'crawler_v1.0' as prompt_version
+      {language('p.body')} = 'en' as in_distribution, c.fetched_at as queued_at
     from (
       select * exclude (published_raw, published_at), published_at from (
         select *, try_strptime(published_raw, ['%a, %d %b %Y %H:%M:%S GMT', '%Y-%m-%dT%H:%M:%SZ']) as published_at
@@ -143,7 +143,8 @@ QUEUE = f"""select * exclude (rn) from (
       select * exclude (published_raw) from ({DISCOVERY_CANDIDATES}) d) c
     join (select url, substr(full_text, 1, 8000) as body, length(full_text) as full_length from (
         select url, {html_text('html')} as full_text from fx_pages) t) p on p.url = c.article_url
-    where length(p.body) >= 200) r) q
+    where length(p.body) >= 200
+    union all by name select * exclude (body_text) from ({AD_CANDIDATES}) a) r) q
   where rn = 1 and content_hash not in (select content_hash from ({KNOWN}) k)"""
 
 TACTIC_ROWS = """select content_hash as scan_id,
@@ -386,7 +387,7 @@ SQL: dict[str, str] = {
     "audience_routing": """select r.audience, count(*) as patterns, cast(coalesce(sum(u.n), 0) as bigint) as occurrences from (
           select audience, concat(prefix, lpad(cast(unnest(generate_series(low, high)) as string), 2, '0')) as tactic_code
           from (values """
-    + ", ".join(f"('{p}', {lo}, {hi}, '{a}')" for p, lo, hi, a in C.AUDIENCE_RANGES)
+    + ", ".join(f"('{p}', {lo}, {hi}, '{a}')" for p, lo, hi, names in C.AUDIENCE_RANGES for a in names)
     + """) as v(prefix, low, high, audience)) r
         left join (select tactic_code, count(*) as n from fx_tactics group by 1) u on u.tactic_code = r.tactic_code group by 1""",
     "unknown_codes": """select tactic_code, count(*) as rows from fx_tactics

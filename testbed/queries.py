@@ -307,7 +307,7 @@ def ads_topk(s, d):
 
 @query
 def ad_candidates(s, d):
-    return ads.ad_candidates(ads_topk(s, d))
+    return ads.ad_candidates(ads_topk(s, d), F.lit("2024-01-01 00:00:00").cast("timestamp"))
 
 
 ARTICLE_FIELDS = ["source_type", "publisher_name", "publisher_domain", "country", "media_class", "topic_class",
@@ -335,11 +335,14 @@ def ingest_summary(s, d):
 @query
 def queue_candidates(s, d):
     """The whole ingest plan, written to the queue table and read back."""
-    queued, scanned = fx(s, d, "known_queue", "known_scans")
-    rows = ingest.new_queue_rows(ingest.article_candidates(_run_items(s, d), fx(s, d, "pages")), queued, scanned)
+    pages, queued, scanned = fx(s, d, "pages", "known_queue", "known_scans")
+    every = content.all_candidates(
+        ingest.article_candidates(_run_items(s, d), pages), ingest.with_queue_constants(ad_candidates(s, d))
+    )
+    rows = ingest.new_queue_rows(every, queued, scanned)
     path = scratch_dir(s, "queue")
     sinks.append_candidates(rows, path, "r1")
-    return s.read.parquet(path).drop("run", "queued_on", "body_text", "published_bad", "region", "fetched_at")
+    return s.read.parquet(path).drop("run", "queued_on", "body_text", "published_bad", "fetched_at")
 
 
 # --- credibility --------------------------------------------------------------

@@ -280,11 +280,13 @@ def test_first_country_fills_the_term(spark):
     frame = spark.createDataFrame(rows, "term string, country string, container_pos long, ad_text string, advertiser_name string")
     kept = ads.ads_per_term(frame, seeds.search_terms(spark))
     assert Counter(r.country for r in kept.collect()) == {"US": 4, "GB": 1}
-    row = ads.ad_candidates(kept.filter("country = 'GB'")).first()
+    row = ads.ad_candidates(kept.filter("country = 'GB'"), F.current_timestamp()).first()
     assert (row.region, row.country, row.article_domain, row.headline_text, row.search_term) == (
         "UK", "United Kingdom", "facebook.com", "gb 0", term,
     )
     assert "q=weight%20loss%20supplement&" in row.article_url
+    queued = ingest.with_queue_constants(ads.ad_candidates(kept, F.current_timestamp())).first()
+    assert (queued.queued_at, queued.status, queued.taxonomy_version) == (None, "pending", C.TAXONOMY_VERSION)
 
 
 # --- queue -------------------------------------------------------------------------

@@ -97,6 +97,7 @@ def test_enrichment_first_record_wins(spark, tmp_path):
 
 def test_seeds(spark):
     assert seeds.feeds(spark).count() == 20
+    assert seeds.feeds(spark, legacy=True).count() == 23
     assert seeds.themes(spark).count() == 4
     grid = seeds.search_terms(spark)
     assert grid.count() == 28
@@ -143,9 +144,9 @@ def test_taxonomy_document(spark, tmp_path):
 
 def test_audience_ranges(spark):
     routed = taxonomy.audience_routing(spark)
-    by = {a: {r.pattern_id for r in routed.filter(F.col("audience") == a).collect()} for a in ("consumer", "regulatory_trigger", "procurement")}
+    by = {a: {r.pattern_id for r in routed.filter(F.col("audience") == a).collect()} for a in ("consumer", "regulatory trigger", "procurement")}
     assert by == {
         "consumer": {"A16", "A17", "A20"},
-        "regulatory_trigger": {"C03", "C04", "C06", "C09", "C10", "C14", "C21", "C22"},
-        "procurement": {"O08", "O09", "O10", "O11"},
+        "regulatory trigger": {"C03", "C04", "C06", "C09", "C10", "C14", "C21", "C22"},
+        "procurement": {"A14", "A15", "A19", "O08", "O09", "O10", "O11"},
     }
