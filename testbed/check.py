@@ -34,7 +34,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 SPARK_KIND = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
-              "double": "DOUBLE", "timestamp": "TIMESTAMP", "date": "DATE"}
+              "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
 
 
 def compare(spark, con, sf_dir: str, name: str) -> str | None:

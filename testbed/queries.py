@@ -30,10 +30,16 @@ PROSE_THEMES = (
 
 
 def query(fn: Query) -> Query:
-    """Register under the function's name; settings are applied before the plan is built."""
+    """Register under the function's name; settings are applied before the plan is built.
+
+    Timestamps leave as UTC wall time without a zone, the type the given tables
+    have, so a result reads the same whatever zone the caller's process is in.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(configure(spark), sf_dir)
+        df = fn(configure(spark), sf_dir)
+        zoned = [c for c, kind in df.dtypes if kind == "timestamp"]
+        return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned}) if zoned else df
 
     REGISTRY[fn.__name__] = run
     return fn
