@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +47,26 @@ def text_key(text: Column) -> Column:
     return F.struct(
         F.xxhash64(text, present).alias("a"), F.xxhash64(F.lit(1), text, present).alias("b")
     )
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the session's Python workers import this package, wherever they run; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"  # handed out by the driver, as with --py-files
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
+def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the tasks."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)

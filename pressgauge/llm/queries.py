@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgauge.llm import license_join, oracles, splitters, winnow
+from pressgauge.llm import bitplane, license_join, oracles, piece_codec, splitters, winnow
 from pressgauge.llm.common import given
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,16 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan_licenses(spark, given(spark, sf_dir, "documents"))
 
 
+@query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.digests(given(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op6_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplane.round_trip(spark, given(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.decontaminate(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"))
