@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgauge.llm import bitplane, license_join, oracles, piece_codec, splitters, winnow
+from pressgauge.llm import bitplane, license_join, oracles, piece_codec, quality_votes, splitters, winnow
 from pressgauge.llm.common import given
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(given(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op5_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_votes.report(given(spark, sf_dir, "documents"))
+
+
 @query
 def op6_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane.round_trip(spark, given(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
