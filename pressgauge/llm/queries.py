@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgauge.llm import bitplane, license_join, oracles, piece_codec, quality_votes, splitters, winnow
+from pressgauge.llm import bitplane, brown_lm, license_join, oracles, piece_codec, quality_votes, splitters, winnow
 from pressgauge.llm.common import given
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.score_documents(given(spark, sf_dir, "documents"))
+
+
 @query
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan_licenses(spark, given(spark, sf_dir, "documents"))
