@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgauge.llm import bitplane, brown_lm, license_join, oracles, piece_codec, quality_votes, splitters, winnow
+from pressgauge.llm import bitplane, brown_lm, compress_tox, license_join, oracles, piece_codec, quality_votes, splitters, winnow
 from pressgauge.llm.common import given
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,11 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.decontaminate(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"))
 
 
+@query
+def op9_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_tox.score_documents(given(spark, sf_dir, "documents"), given(spark, sf_dir, "labels"))
+
+
 @query
 def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitters.assign_shards(given(spark, sf_dir, "documents"))
