@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgauge.llm import bitplane, brown_lm, compress_tox, license_join, oracles, piece_codec, quality_votes, splitters, winnow
+from pressgauge.llm import bag_minhash, bitplane, brown_lm, compress_tox, license_join, main_text, oracles, piece_codec, quality_votes, splitters, winnow
 from pressgauge.llm.common import given
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(given(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op4_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(given(spark, sf_dir, "pages"))
+
+
 @query
 def op5_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_votes.report(given(spark, sf_dir, "documents"))
@@ -49,6 +54,11 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.decontaminate(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"))
 
 
+@query
+def op8_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.near_duplicates(given(spark, sf_dir, "documents"))
+
+
 @query
 def op9_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_tox.score_documents(given(spark, sf_dir, "documents"), given(spark, sf_dir, "labels"))
