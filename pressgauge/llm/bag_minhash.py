@@ -237,6 +237,26 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     return parts.union(roots.join(parts, "id", "left_anti"))
 
 
+def _classes(held: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """Per text: its key, least doc_id and copies, and the class it belongs to, with the class's first text marked."""
+    nodes = held.groupBy("ka", "kb").agg(
+        F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.first("weight").alias("weight"), F.first("bands").alias("bands")
+    )
+    nodes = stored(nodes.select(F.monotonically_increasing_id().alias("id"), "*"), "text-classes")
+    part_of = components(_links(docs, nodes, threshold))
+    placed = nodes.select("id", "ka", "kb", "doc", "copies").join(part_of, "id", "left").withColumn("part", F.coalesce("part", "id"))
+    first = F.min(F.struct(F.col("doc").isNull().alias("none"), F.col("doc"), F.col("id"))).alias("first")
+    groups = placed.groupBy("part").agg(first, F.sum("copies").alias("n_class"))
+    return placed.join(groups, "part").select(
+        "ka", "kb", F.col("first.doc").alias("class_id"), F.col("doc").alias("copy_id"), F.col("copies").alias("n_copies"), "n_class",
+        (F.col("first.id") == F.col("id")).alias("stays"),
+    )
+
+
+def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id, copy_id, n_copies and n_class.
 
@@ -246,14 +266,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     nothing else; null ids are left out of least ids; repeated rows each give a row;
     an empty table gives none; other columns are left aside.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    held = stored(sketches(docs), "sketches")
-    nodes = held.groupBy("ka", "kb").agg(
-        F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.first("weight").alias("weight"), F.first("bands").alias("bands")
-    )
-    nodes = stored(nodes.select(F.monotonically_increasing_id().alias("id"), "*"), "text-classes")
-    part_of = components(_links(docs, nodes, threshold))
-    placed = nodes.select("id", "ka", "kb", "doc", "copies").join(part_of, "id", "left").withColumn("part", F.coalesce("part", "id"))
-    groups = placed.groupBy("part").agg(F.min("doc").alias("class_id"), F.sum("copies").alias("n_class"))
-    classes = placed.join(groups, "part").select("ka", "kb", "class_id", F.col("doc").alias("copy_id"), F.col("copies").alias("n_copies"), "n_class")
-    return held.select("doc_id", "ka", "kb").join(classes, ["ka", "kb"]).select("doc_id", "class_id", "copy_id", "n_copies", "n_class")
+    narrow = _narrow(docs, id_col, text_col)
+    held = stored(sketches(narrow), "sketches")
+    found = _classes(held, narrow, threshold).drop("stays")
+    return held.select("doc_id", "ka", "kb").join(found, ["ka", "kb"]).select("doc_id", "class_id", "copy_id", "n_copies", "n_class")
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, with all its columns, without the near-duplicates of others: of each class one row with the least doc_id stays."""
+    narrow = _narrow(docs, id_col, text_col)
+    found = _classes(stored(sketches(narrow), "sketches"), narrow, threshold).where("stays")
+    kept = found.select(F.col("ka").alias("__ka"), F.col("kb").alias("__kb"), F.col("copy_id").alias("__doc"))
+    ka, kb = _key(F.coalesce(F.col(text_col), F.lit("")))
+    same = (ka == F.col("__ka")) & (kb == F.col("__kb")) & F.col(id_col).cast("long").eqNullSafe(F.col("__doc"))
+    return docs.join(kept, same).dropDuplicates(["__ka", "__kb"]).select(*(docs[c] for c in docs.columns))

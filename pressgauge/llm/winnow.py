@@ -92,6 +92,19 @@ def hit_windows(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFram
     return lined.select("doc_id", "key", "item_id", size.alias("size"), F.explode(starts).alias("start")).distinct()
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    words = alnum_words(lowered(F.col("text")))
+    return benchmark.select("item_id", words.alias("words")).where(F.size("words") > 0).withColumn("item_key", F.xxhash64("words")).distinct()
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, in which no window of a benchmark item stands."""
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("key"))
+    found = hit_windows(narrow, _items(benchmark), span).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (text_key(F.col(text_col)) == F.col("__key"))
+    return docs.join(found, same, "left_anti")
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Which words of every document stand in a window of a benchmark item.
 
@@ -101,13 +114,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, id_co
     one row each; an empty table gives none; further columns are left aside.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("key"))
-    items = (
-        benchmark.select("item_id", alnum_words(lowered(F.col("text"))).alias("words"))
-        .where(F.size("words") > 0)
-        .withColumn("item_key", F.xxhash64("words"))
-        .distinct()
-    )
-    hits = hit_windows(docs, items, span)
+    hits = hit_windows(docs, _items(benchmark), span)
     by_start = Window.partitionBy("doc_id", "key").orderBy("start")
     reach = F.coalesce(F.max(F.col("start") + F.col("size")).over(by_start.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     fresh = F.greatest(F.lit(0), F.col("start") + F.col("size") - F.greatest(F.col("start"), reach))
