@@ -1,9 +1,9 @@
 """Token-id files with bit-plane shuffling.
 
-Ids are cut into blocks of ``BLOCK``. A block's ids are seen as a matrix of bits,
-transposed into planes (all lowest bits, all next bits, ...), and each plane that
-is not all zero is compressed with zstandard on its own. A file ends with an index
-of its blocks and of its documents:
+Ids are cut into blocks of ``BLOCK``. A block's ids are seen as a matrix, of bytes
+or of bits, and transposed into planes (all lowest bytes, all next bytes, ...); each
+plane that is not all zero is compressed with zstandard on its own. A file ends with
+an index of its blocks and of its documents:
 
     b"BPIDS1"  planes...  zstd(index JSON header + arrays)  index length (8 bytes)  b"BPIDS1"
 
@@ -31,6 +31,7 @@ from pressgauge.session import scratch_dir
 MAGIC = b"BPIDS1"
 BLOCK = 1 << 16
 END_ID = 0
+#: Pieces one Python worker remembers; it changes its speed only.
 CACHED_PIECES = 1_000_000
 
 MANIFEST = "part int, path string, n_docs long, n_tokens long"
@@ -51,6 +52,7 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.marks = dict(zip(".,;:!?", self._encode(list(".,;:!?")), strict=True))
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
@@ -59,16 +61,25 @@ class _Encoder:
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
         cut = [self.CUT.split(text) for text in texts]
-        known = self.known
-        if len(known) > CACHED_PIECES:
-            known.clear()
-        fresh = [p for p in dict.fromkeys(p for pieces in cut for p in pieces[1:]) if p not in known]
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            known.update(zip(part, self._encode([" " + p for p in part]), strict=True))
         heads = self._encode([pieces[0] for pieces in cut])
-        for head, pieces in zip(heads, cut, strict=True):
-            yield head + b"".join([known[p] for p in pieces[1:]])
+        known = self.known
+        found = [[known.get(p) for p in pieces[1:]] for pieces in cut]
+        lacking = [i for i, ids in enumerate(found) if None in ids]
+        fresh = {p for i in lacking for p, ids in zip(cut[i][1:], found[i], strict=True) if ids is None}
+        # a mark after letters is a pre-token of its own
+        ending = {p: p[:-1] for p in fresh if p[-1:] in self.marks and p[:-1].isalpha()}
+        alone = list({core for core in (ending.get(p, p) for p in fresh) if core not in known})
+        met: dict[str, bytes] = {}
+        for at in range(0, len(alone), 20_000):
+            part = alone[at : at + 20_000]
+            met.update(zip(part, self._encode([" " + p for p in part]), strict=True))
+        met.update({p: (known.get(core) or met[core]) + self.marks[p[-1]] for p, core in ending.items()})
+        if len(known) + len(met) <= CACHED_PIECES:  # frequent pieces are met early and stay
+            known.update(met)
+        for i in lacking:
+            found[i] = [met.get(p) or known[p] if ids is None else ids for p, ids in zip(cut[i][1:], found[i], strict=True)]
+        for head, rest in zip(heads, found, strict=True):
+            yield head + b"".join(rest)
 
 
 def encoder(path: str) -> _Encoder:
@@ -77,24 +88,37 @@ def encoder(path: str) -> _Encoder:
     return _ENCODERS[path]
 
 
-def pack_block(ids: np.ndarray) -> tuple[int, list[bytes]]:
-    """(mask of the planes that hold a set bit, those planes compressed, lowest bit first)."""
+def pack_block(ids: np.ndarray, bits: bool = False) -> tuple[int, list[bytes]]:
+    """(mask of the planes that are not all zero, those planes compressed, lowest first).
+
+    The mask has a bit for each bit plane in its lower half, or for each byte plane above bit 32.
+    """
     import zstandard
 
     press = zstandard.ZstdCompressor(level=1)
-    bits = np.unpackbits(np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
-    used = int(np.bitwise_or.reduce(ids)) if len(ids) else 0
-    return used, [press.compress(np.packbits(bits[:, k], bitorder="little").tobytes()) for k in range(32) if used >> k & 1]
+    held = int(np.bitwise_or.reduce(ids)) if len(ids) else 0
+    if bits:
+        planes = [k for k in range(32) if held >> k & 1]
+        return held, [press.compress(np.packbits((ids >> np.uint32(k)).astype(np.uint8) & 1, bitorder="little").tobytes()) for k in planes]
+    matrix = np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4)
+    planes = [k for k in range(4) if held >> 8 * k & 255]
+    return sum(1 << 32 + k for k in planes), [press.compress(np.ascontiguousarray(matrix[:, k]).tobytes()) for k in planes]
 
 
 def unpack_block(n: int, used: int, planes: list[bytes]) -> np.ndarray:
     import zstandard
 
     expand = zstandard.ZstdDecompressor()
-    bits = np.zeros((n, 32), np.uint8)
-    for k, plane in zip((k for k in range(32) if used >> k & 1), planes, strict=True):
-        bits[:, k] = np.unpackbits(np.frombuffer(expand.decompress(plane), np.uint8), count=n, bitorder="little")
-    return np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
+    raw = [np.frombuffer(expand.decompress(p), np.uint8) for p in planes]
+    matrix = np.zeros((n, 4), np.uint8)
+    if used >> 32:
+        for k, plane in zip((k for k in range(4) if used >> 32 + k & 1), raw, strict=True):
+            matrix[:, k] = plane
+        return matrix.view("<u4").ravel()
+    ids = np.zeros(n, "<u4")
+    for k, plane in zip((k for k in range(32) if used >> k & 1), raw, strict=True):
+        ids |= np.unpackbits(plane, count=n, bitorder="little").astype("<u4") << np.uint32(k)
+    return ids
 
 
 def _open(path: str):
