@@ -10,7 +10,8 @@ from pressgauge.functions.text import content_hash, slug, trim_space
 from pressgauge.functions.values import col_of, first_truthy
 from pressgauge.operators.dedup import top_k
 
-PAGE = ["term", "country"]
+# One visit of one search page: every cut and every card belongs to a run.
+PAGE = ["fetched_at", "term", "country"]
 CARD = [*PAGE, "container_pos"]
 NODES_PER_PIECE = 256
 UNKNOWN_ADVERTISER = "Unknown Advertiser"
@@ -112,13 +113,17 @@ def page_ads(
 
 
 def ads_per_term(ads: DataFrame, grid: DataFrame, k: int = C.ADS_PER_TERM) -> DataFrame:
-    """At most ``k`` ads per term over all its countries, the first country filling first."""
-    placed = ads.join(grid, PAGE)
-    return top_k(placed, ["term"], ["country_ordinal", "container_pos"], k)
+    """At most ``k`` ads per run and term over all its countries, the first country filling first.
+
+    ``term_pos`` is an ad's place among those of its term.
+    """
+    placed = ads.join(grid, ["term", "country"])
+    order = Window.partitionBy("fetched_at", "term").orderBy("country_ordinal", "container_pos")
+    return placed.withColumn("term_pos", F.row_number().over(order)).filter(F.col("term_pos") <= k)
 
 
-def ad_candidates(ads: DataFrame, fetched_at: Column) -> DataFrame:
-    """Queue fields of the ads placed by the run that started at ``fetched_at``."""
+def ad_candidates(ads: DataFrame, headline_chars: int = C.HEADLINE_CHARS) -> DataFrame:
+    """Queue fields of placed ads; an ad belongs to the run of its ``fetched_at``."""
     in_us = F.col("country") == "US"
     url = F.concat(
         F.lit("https://www.facebook.com/ads/library/?active_status=active&ad_type=all&country="),
@@ -139,7 +144,7 @@ def ad_candidates(ads: DataFrame, fetched_at: Column) -> DataFrame:
         F.col("category").alias("topic_class"),
         url.alias("article_url"),
         F.lit("facebook.com").alias("article_domain"),
-        F.substring("ad_text", 1, C.HEADLINE_CHARS).alias("headline_text"),
+        F.substring("ad_text", 1, headline_chars).alias("headline_text"),
         F.col("ad_text").alias("body_text"),
         F.length("ad_text").alias("content_length"),
         F.lit(False).alias("truncated"),
@@ -150,8 +155,8 @@ def ad_candidates(ads: DataFrame, fetched_at: Column) -> DataFrame:
         "advertiser_name",
         F.col("term").alias("search_term"),
         F.col("country").alias("ad_country"),
-        fetched_at.alias("fetched_at"),
+        "fetched_at",
         F.lit(2).alias("phase"),
         F.col("term_ordinal").alias("feed_ordinal"),
-        (F.col("country_ordinal") * 1_000_000_000_000 + F.col("container_pos")).alias("item_pos"),
+        F.col("term_pos").alias("item_pos"),
     )

@@ -88,6 +88,17 @@ def with_provenance(df: DataFrame) -> DataFrame:
     )
 
 
+# Column defaults of the scan table.
+COLUMN_DEFAULTS = {
+    "truncated": False,
+    "language": "en",
+    "language_confidence": "heuristic",
+    "in_distribution": True,
+    "scan_source": "crawler",
+    "scan_status": "success",
+}
+
+
 def canonicalise_v1(rows: DataFrame) -> DataFrame:
     """Rows of the older scan layout under the current column names."""
     renamed = rows.withColumnsRenamed(
@@ -97,8 +108,11 @@ def canonicalise_v1(rows: DataFrame) -> DataFrame:
             "content_length_chars": "content_length",
         }
     )
+    # a column the older layout did not write has the default of the table
+    absent = {k: F.lit(v) for k, v in COLUMN_DEFAULTS.items() if k not in renamed.columns}
     return renamed.drop("feed_name").withColumns(
         {
+            **absent,
             "publisher_domain": F.col("article_domain"),
             "analyzer_version": F.lit(C.LEGACY_VERSION),
             "taxonomy_version": F.lit(C.LEGACY_VERSION),

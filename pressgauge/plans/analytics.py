@@ -58,14 +58,15 @@ def tactic_spi_corr(tactics: DataFrame, scans: DataFrame) -> DataFrame:
             F.count("*").alias("n"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy")
         ).alias("t")
     ).scalar()
-    n, sy, syy = F.col("t.n"), F.col("t.sy"), F.col("t.syy")
-    sx, sxy = F.col("n_with"), F.col("y_with")
+    # doubles: products of two counts exceed a long
+    n, sy, syy = F.col("t.n").cast("double"), F.col("t.sy"), F.col("t.syy")
+    sx, sxy = F.col("n_with").cast("double"), F.col("y_with")
     spread = (n * sx - sx * sx) * (n * syy - sy * sy)
     corr = F.when(spread > 0, (n * sxy - sx * sy) / F.sqrt(spread))
     return per_code.withColumn("t", totals).select(
         "tactic_code",
         F.col("n_with").alias("scans_with"),
-        n.alias("scans"),
+        F.col("t.n").alias("scans"),
         F.round(corr, 6).alias("corr_spi"),
     )
 

@@ -20,19 +20,23 @@ from pressgauge.operators.content import all_candidates, min_length
 from pressgauge.operators.dedup import ORDER, first_wins, known_hashes, run_outcomes
 
 
-def with_page_text(items: DataFrame, pages: DataFrame) -> DataFrame:
+def with_page_text(items: DataFrame, pages: DataFrame, max_chars: int | None = C.CONTENT_MAX_CHARS) -> DataFrame:
     """Page text of each item; items whose page is missing or too short are dropped.
 
     Text is extracted in the page scan, below the join, so the exchange carries
-    the cut text and never the HTML. Pages are one row per URL.
+    the cut text and never the HTML. Pages are one row per URL and run where they
+    have a ``fetched_at``, and one per URL otherwise. ``max_chars=None`` stores whole texts.
     """
-    full = with_computed(pages.select("url", "html"), "full_text", strip_markup("html"))
+    run = ["fetched_at"] if "fetched_at" in pages.columns else []
+    full = with_computed(pages.select("url", "html", *run), "full_text", strip_markup("html"))
+    text = F.col("full_text") if max_chars is None else F.substring("full_text", 1, max_chars)
     texts = full.select(
         F.col("url").alias("article_url"),
-        F.substring("full_text", 1, C.CONTENT_MAX_CHARS).alias("body_text"),
+        *run,
+        text.alias("body_text"),
         F.length("full_text").alias("content_length_full"),
     )
-    return items.join(min_length(texts, "body_text"), "article_url")
+    return items.join(min_length(texts, "body_text"), ["article_url", *run])
 
 
 def ingest_summary(
@@ -44,14 +48,16 @@ def ingest_summary(
     is ``too_short``; the rest are queued or skipped. Only hashes and lengths
     leave the page scan.
     """
-    full = with_computed(pages.select("url", "html"), "body_text", html_to_text("html"))
+    run = ["fetched_at"] if "fetched_at" in pages.columns else []
+    full = with_computed(pages.select("url", "html", *run), "body_text", html_to_text("html"))
     texts = full.select(
         F.col("url").alias("article_url"),
+        *run,
         long_enough("body_text").alias("usable"),
         F.when(long_enough("body_text"), content_hash("body_text")).alias("content_hash"),
     )
     state = F.when(F.col("usable").isNull(), "error").when(~F.col("usable"), "too_short")
-    judged = items.select("source_type", "article_url", *ORDER).join(texts, "article_url", "left")
+    judged = items.select("source_type", "article_url", *ORDER).join(texts, ["article_url", *run], "left")
     return run_outcomes(judged.withColumn("lost", state), queued, scanned)
 
 

@@ -43,6 +43,35 @@ def domain_integrity_weekly(scans: DataFrame, ordered: bool = False) -> DataFram
     return mart
 
 
+DOMAIN_KEYS = ("publisher_domain", "publisher_name", "media_class", "region", "country", "week", "taxonomy_version")
+
+
+def domain_partials(scans: DataFrame) -> DataFrame:
+    """Sums of the domain mart that add up over batches of scans."""
+    return (
+        benchmarkable(scans)
+        .withColumn("week", week_of("scanned_at"))
+        .groupBy(*DOMAIN_KEYS)
+        .agg(
+            F.sum(F.col("spi_score").cast("long")).alias("spi_sum"),
+            F.count("*").alias("scan_count"),
+            F.min("spi_score").alias("min_spi"),
+            F.max("spi_score").alias("max_spi"),
+        )
+    )
+
+
+def merge_domain_partials(partials: DataFrame) -> DataFrame:
+    """The domain mart from partial sums; the same rows as from the scans themselves."""
+    mean = F.sum("spi_sum") / F.sum("scan_count")
+    return partials.groupBy(*DOMAIN_KEYS).agg(
+        F.round(mean).cast("int").alias("avg_spi"),
+        F.sum("scan_count").alias("scan_count"),
+        F.min("min_spi").alias("min_spi"),
+        F.max("max_spi").alias("max_spi"),
+    )
+
+
 def tactic_frequency_weekly(tactics: DataFrame, scans: DataFrame, ordered: bool = False) -> DataFrame:
     """Occurrences per tactic, week, region and media class.
 

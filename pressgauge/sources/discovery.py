@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressgauge import constants as C
 from pressgauge.functions.urls import extract_domain
 from pressgauge.functions.values import first_truthy
+from pressgauge.operators.dedup import top_k
 
 DISCOVERY_SCHEMA = (
     "articles array<struct<url:string,domain:string,title:string,"
@@ -75,3 +77,10 @@ def discovery_candidates(items: DataFrame) -> DataFrame:
         "fetched_at",
         F.col("pos").alias("item_pos"),
     )
+
+
+def per_run_cut(items: DataFrame, budget: int | None = C.DISCOVERY_BUDGET) -> DataFrame:
+    """The first items of each theme and run, an equal share of the run's budget; ``None`` keeps all."""
+    if budget is None:
+        return items
+    return top_k(items, ["theme", "fetched_at"], ["pos"], -(-budget // len(C.THEMES)))

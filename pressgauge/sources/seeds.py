@@ -38,9 +38,10 @@ def feeds(spark: SparkSession, legacy: bool = False) -> DataFrame:
     )
 
 
-def feed_slice(feed_rows: DataFrame, start: int = 0, end: int = 999) -> DataFrame:
-    """Feeds of one batch: ordinals ``start`` to ``end``, both included."""
-    return feed_rows.filter(F.col("ordinal").between(start, end))
+def feed_slice(feed_rows: DataFrame, start: int = 0, end: int | None = None) -> DataFrame:
+    """Feeds of one batch: ordinals ``start`` to ``end``, both included; without ``end`` all that follow."""
+    wanted = F.col("ordinal") >= start
+    return feed_rows.filter(wanted if end is None else wanted & (F.col("ordinal") <= end))
 
 
 def themes(spark: SparkSession) -> DataFrame:

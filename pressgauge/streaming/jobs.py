@@ -6,12 +6,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from pressgauge.functions.values import week_of
 from pressgauge.operators.dedup import ORDER, first_wins
 from pressgauge.operators.tactic_rows import flatten_tactics
-from pressgauge.plans.marts import domain_integrity_weekly
+from pressgauge.plans.marts import benchmarkable, domain_partials, merge_domain_partials
 from pressgauge.sinks.tables import refresh_mart
 from pressgauge.sources.responses import parse_responses
 from pressgauge.streaming.common import batch_dir, earlier_batches, ensure_table, start
@@ -57,10 +56,14 @@ def stream_status(
 
 
 def stream_scans(responses: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Two sinks from one stream: tactic rows first, then the scans they belong to."""
+    """Two sinks from one stream: tactic rows first, then the scans they belong to.
+
+    Failed responses give no scan; ``analyse.status_events`` tells of them.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_responses(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        good = parse_responses(batch).filter("error_message is null").drop("error_message")
+        parsed = good.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             flatten_tactics(parsed).write.mode("overwrite").parquet(batch_dir(f"{path}/tactics", batch_id))
             parsed.drop("tactics").write.mode("overwrite").parquet(batch_dir(f"{path}/scans", batch_id))
@@ -71,23 +74,22 @@ def stream_scans(responses: DataFrame, path: str, checkpoint: str) -> StreamingQ
 
 
 def stream_weekly(scans: DataFrame, store: str, mart: str, checkpoint: str) -> StreamingQuery:
-    """Keep the weekly domain mart current by recomputing only the weeks a batch touches.
+    """Keep the weekly domain mart current by merging partial sums of the weeks a batch touches.
 
-    The store is partitioned by week, so the semi-join on the touched weeks
-    prunes partitions and old weeks are not read again.
+    The store holds one row per mart key and batch, by week, so scans are never
+    read again; the touched weeks are named in the filter, which prunes all others.
     """
-    stored = StructType(list(scans.schema.fields)).add("week_start", "date").add("batch_id", "long")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        keyed = batch.withColumns(
-            {"week_start": F.to_date(week_of("scanned_at")), "batch_id": F.lit(batch_id)}
-        )
-        keyed.hint("rebalance", "week_start").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        partial = domain_partials(batch).withColumns({"week_start": F.to_date("week"), "batch_id": F.lit(batch_id)})
+        partial.hint("rebalance", "week_start").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "week_start", "batch_id"
         ).parquet(store)
-        full = spark.read.schema(stored).parquet(store)
-        touched = batch.select(F.to_date(week_of("scanned_at")).alias("week_start")).distinct()
-        refresh_mart(domain_integrity_weekly(full.join(touched, "week_start", "left_semi")), mart)
+        weeks = benchmarkable(batch).select(F.to_date(week_of("scanned_at")).alias("w")).distinct()
+        touched = [r["w"] for r in weeks.collect()]  # bounded by the calendar
+        if touched:
+            full = spark.read.schema(partial.schema).parquet(store)
+            refresh_mart(merge_domain_partials(full.filter(F.col("week_start").isin(touched))), mart)
 
     return start(scans, handle, checkpoint)

@@ -86,24 +86,24 @@ KNOWN = """select content_hash, case when min(r) = 1 then 'queued' else 'scanned
 
 AD_KEPT = """select * from (select *, trim(text) as t from fx_ad_nodes) n
   where length(t) > 20 and not regexp_matches(t, '^\\d+:\\d+') and not contains(t, 'Sponsored')"""
-AD_CARDS = f"""select k.term, k.country, k.container_pos, k.ad_text,
+AD_CARDS = f"""select k.fetched_at, k.term, k.country, k.container_pos, k.ad_text,
     case when trim(coalesce(a.advertiser_name, '')) = '' then 'Unknown Advertiser' else trim(a.advertiser_name) end as advertiser_name
-  from (select term, country, container_pos, string_agg(t, ' ' order by node_pos) as ad_text from ({AD_KEPT}) k
-        group by term, country, container_pos) k
-  join (select term, country, container_pos, max(advertiser_name) as advertiser_name from fx_ad_nodes
-        group by term, country, container_pos) a
-    on a.term = k.term and a.country = k.country and a.container_pos = k.container_pos
+  from (select fetched_at, term, country, container_pos, string_agg(t, ' ' order by node_pos) as ad_text from ({AD_KEPT}) k
+        group by fetched_at, term, country, container_pos) k
+  join (select fetched_at, term, country, container_pos, max(advertiser_name) as advertiser_name from fx_ad_nodes
+        group by fetched_at, term, country, container_pos) a
+    on a.fetched_at = k.fetched_at and a.term = k.term and a.country = k.country and a.container_pos = k.container_pos
   where length(k.ad_text) >= 50"""
-AD_TEXTS = f"""select term, country, container_pos, ad_text, advertiser_name from (
-  select *, row_number() over (partition by term, country order by container_pos) as rn from ({AD_CARDS}) c) q where rn <= 5"""
-AD_FALLBACK = f"""select term, country, container_pos, ad_text, 'Unknown Advertiser' as advertiser_name from (
-  select *, row_number() over (partition by term, country order by container_pos) as rn from (
-    select term, country, container_pos, regexp_replace(text, '^{SPACE}+|{SPACE}+$', '', 'g') as ad_text
-    from fx_ad_blocks b where not exists (select 1 from ({AD_TEXTS}) p where p.term = b.term and p.country = b.country)) f
+AD_TEXTS = f"""select fetched_at, term, country, container_pos, ad_text, advertiser_name from (
+  select *, row_number() over (partition by fetched_at, term, country order by container_pos) as rn from ({AD_CARDS}) c) q where rn <= 5"""
+AD_FALLBACK = f"""select fetched_at, term, country, container_pos, ad_text, 'Unknown Advertiser' as advertiser_name from (
+  select *, row_number() over (partition by fetched_at, term, country order by container_pos) as rn from (
+    select fetched_at, term, country, container_pos, regexp_replace(text, '^{SPACE}+|{SPACE}+$', '', 'g') as ad_text
+    from fx_ad_blocks b where not exists (select 1 from ({AD_TEXTS}) p where p.fetched_at = b.fetched_at and p.term = b.term and p.country = b.country)) f
   where length(ad_text) >= 50 and not contains(ad_text, 'Log in') and not contains(ad_text, 'Facebook')) q where rn <= 5"""
-ADS_TOPK = f"""select term, country, container_pos, ad_text, advertiser_name, term_ordinal, category, country_ordinal from (
+ADS_TOPK = f"""select fetched_at, term, country, container_pos, ad_text, advertiser_name, term_ordinal, category, country_ordinal, cast(rn as int) as term_pos from (
   select a.*, t.term_ordinal, t.category, t.country_ordinal,
-    row_number() over (partition by a.term order by t.country_ordinal, a.container_pos) as rn
+    row_number() over (partition by a.fetched_at, a.term order by t.country_ordinal, a.container_pos) as rn
   from (({AD_TEXTS}) union all ({AD_FALLBACK})) a join fx_terms t on t.term = a.term and t.country = a.country) q where rn <= 5"""
 AD_URL = """concat('https://www.facebook.com/ads/library/?active_status=active&ad_type=all&country=', country,
    '&q=', replace(term, ' ', '%20'), '&media_type=all')"""
@@ -115,7 +115,7 @@ AD_CANDIDATES = f"""select sha256(ad_text) as content_hash, 'facebook_ad' as sou
   substr(ad_text, 1, 200) as headline_text, ad_text as body_text, cast(length(ad_text) as int) as content_length,
   false as truncated, 'facebook_ad_body' as content_extraction_type, 'en' as language, 'assumed' as language_confidence,
   true as in_distribution, advertiser_name, term as search_term, country as ad_country,
-  timestamp '2024-01-01 00:00:00' as fetched_at, 2 as phase, term_ordinal as feed_ordinal, country_ordinal * 1000000000000 + container_pos as item_pos
+  fetched_at, 2 as phase, term_ordinal as feed_ordinal, term_pos as item_pos
   from ({ADS_TOPK}) a"""
 
 FEED_CANDIDATES = f"""select 'rss_article' as source_type, feed_url, name as publisher_name, domain as publisher_domain, country,
@@ -180,13 +180,14 @@ SQL: dict[str, str] = {
         case when tone_kind = 0 then tone end as gdelt_tone from ({DISCOVERY}) d""",
     "discovery_candidates": DISCOVERY_CANDIDATES,
     "discovery_topk": f"""select theme, fetched_at, pos, url, article_domain from (
-        select *, row_number() over (partition by theme order by fetched_at, pos) as rn from ({DISCOVERY}) d) q where rn <= 5""",
+        select *, row_number() over (partition by theme, fetched_at order by pos) as rn from ({DISCOVERY}) d) q where rn <= 5""",
     "enrichment_raw": RECORDS,
     "enrichment_norm": NORM,
     "enrichment_dedup": DEDUP,
     "response_fields": """select p.content_hash, p.taxonomy_version, p.spi_score, p.the_play, p.emotional_targets,
         p.blind_spots, p.the_verdict,
-        case when p.broken or p.shape in ('missing', 'scalar') then null else coalesce(cast(t.n as int), 0) end as n_tactics
+        case when p.broken or p.shape in ('missing', 'scalar') then null else coalesce(cast(t.n as int), 0) end as n_tactics,
+        case when p.broken then 'response is not JSON' end as error_message
         from fx_response_parts p left join (select content_hash, count(*) as n from fx_response_tactics group by 1) t
           on t.content_hash = p.content_hash""",
     "search_term_grid": """select t.term_ordinal, t.term, t.category, t.country_ordinal, t.country, count(n.node_pos) as nodes
@@ -308,15 +309,29 @@ SQL: dict[str, str] = {
         case f.source_type when 'facebook_ad' then 'facebook_ad_scraper' else 'crawler' end as scan_source,
         f.source_type = 'gdelt_article' as gdelt_source,
         case f.source_type when 'facebook_ad' then 'copy_only' end as analysis_scope,
-        'success' as scan_status, cast(null as double) as gdelt_tone, cast(v.n as int) as n_vector
+        'success' as scan_status, cast(null as double) as gdelt_tone, cast(v.n as int) as n_vector,
+        f.source_type as media_class, 'US' as region, 'US' as country, true as in_distribution,
+        f.fetched_at + interval 1 hour as scanned_at
         from ({FIRST}) f join fx_response_parts p on p.content_hash = f.content_hash
         left join {DIM} d on d.domain = f.article_domain
-        left join ({VECTOR}) v on v.content_hash = f.content_hash""",
+        left join ({VECTOR}) v on v.content_hash = f.content_hash where not p.broken""",
     "tactics_out": f"select * replace ('v1.0' as taxonomy_version) from ({ROWS_V2}) t",
     "canonical_scans": """select content_hash, null as article_url, article_domain, publisher_domain, null as headline_text,
           null as published_at, null as content_length, analyzer_version, taxonomy_version, prompt_version from fx_scans
         union all select content_hash, article_url, article_domain, article_domain, article_title, article_published_at,
           content_length_chars, '1.0', '1.0', '1.0' from fx_legacy_scans""",
+    "analysed_weekly": f"""select f.article_domain as publisher_domain, f.publisher_name, f.source_type as media_class, 'US' as region,
+        'US' as country, date_trunc('week', f.fetched_at + interval 1 hour) as week, 'v1.0' as taxonomy_version,
+        {AVG.format('p.spi_score')} as avg_spi, count(*) as scan_count, min(p.spi_score) as min_spi, max(p.spi_score) as max_spi
+        from ({FIRST}) f join fx_response_parts p on p.content_hash = f.content_hash
+        where not p.broken and p.spi_score is not null group by 1, 2, 3, 6""",
+    "analysis_events": """select content_hash, 1 as step, 'processing' as status, cast(null as varchar) as error_message from fx_response_parts
+        union all select content_hash, 2, case when broken then 'error' else 'done' end,
+          case when broken then 'response is not JSON' end from fx_response_parts""",
+    "domain_weekly_canonical": f"""({DOMAIN_WEEKLY}) union all
+        select article_domain, publisher_name, media_class, region, country, date_trunc('week', scanned_at), '1.0',
+          {AVG.format('spi_score')}, count(*), min(spi_score), max(spi_score)
+        from fx_legacy_scans where spi_score is not null group by 1, 2, 3, 4, 5, 6""",
     "domain_integrity_weekly": DOMAIN_WEEKLY,
     "mart_refresh": DOMAIN_WEEKLY,
     "stream_weekly": DOMAIN_WEEKLY,
@@ -411,7 +426,7 @@ SQL: dict[str, str] = {
     "stream_dedup": "select distinct content_hash from fx_candidates",
     "stream_scans": """select p.content_hash, p.spi_score, p.the_verdict, coalesce(t.n, 0) as tactics
         from fx_response_parts p left join (select content_hash, count(*) as n from fx_response_tactics group by 1) t
-          on t.content_hash = p.content_hash""",
+          on t.content_hash = p.content_hash where not p.broken""",
 }
 
 

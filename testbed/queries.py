@@ -82,9 +82,7 @@ def discovery_candidates(s, d):
 
 @query
 def discovery_topk(s, d):
-    per_theme = -(-C.DISCOVERY_BUDGET // len(C.THEMES))
-    best = dedup.top_k(_discovery(s, d), ["theme"], ["fetched_at", "pos"], per_theme)
-    return best.select("theme", "fetched_at", "pos", "url", "article_domain")
+    return discovery.per_run_cut(_discovery(s, d)).select("theme", "fetched_at", "pos", "url", "article_domain")
 
 
 @query
@@ -123,7 +121,7 @@ def search_term_grid(s, d):
 def feed_slice(s, d):
     items = feeds.parse_feeds(T.feed_payloads(s, d))
     batches = []
-    for name, start, end in (("A", 0, 9), ("B", 10, 999)):
+    for name, start, end in (("A", 0, 9), ("B", 10, None)):
         mine = content.with_feed(items, seeds.feed_slice(seeds.feeds(s), start, end))
         batches.append(
             mine.groupBy("feed_ordinal", "publisher_name").agg(F.count("*").alias("items")).withColumn("batch", F.lit(name))
@@ -313,7 +311,7 @@ def ads_topk(s, d):
 
 @query
 def ad_candidates(s, d):
-    return ads.ad_candidates(ads_topk(s, d), F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return ads.ad_candidates(ads_topk(s, d))
 
 
 ARTICLE_FIELDS = ["source_type", "publisher_name", "publisher_domain", "country", "media_class", "topic_class",
@@ -329,7 +327,7 @@ def all_candidates(s, d):
 
 
 def _run_items(s, d):
-    return ingest.collect_run(articles_with_feed(s, d), discovery.discovery_candidates(_discovery(s, d)), start=0)
+    return ingest.collect_run(articles_with_feed(s, d), discovery.discovery_candidates(discovery.per_run_cut(_discovery(s, d))), start=0)
 
 
 @query
@@ -451,8 +449,16 @@ def _analysed(s, d):
         F.col("publisher_name").alias("advertiser_name"),
         F.lit("term").alias("search_term"),
         F.lit("US").alias("ad_country"),
+        F.col("source_type").alias("media_class"),
+        F.lit("US").alias("region"),
+        F.lit("US").alias("country"),
+        F.lit(True).alias("in_distribution"),
+        (F.col("fetched_at") + F.expr("interval 1 hour")).alias("answered_at"),
     )
-    return analyse.scans_from_responses(items, T.responses(s, d).drop("taxonomy_version"), _dimension(s, d))
+    scans = analyse.scans_from_responses(
+        items, T.responses(s, d).drop("taxonomy_version"), _dimension(s, d), F.col("answered_at")
+    )
+    return scans.drop("answered_at")
 
 
 def _written_scans(s, d):
@@ -467,6 +473,17 @@ def scans_out(s, d):
     return written.withColumn("n_vector", F.size("tactic_vector")).drop("run", "raw_output", "tactic_vector")
 
 
+@query
+def analysed_weekly(s, d):
+    """The domain mart over scans that the analysis itself has written."""
+    return marts.domain_integrity_weekly(s.read.parquet(f"{_written_scans(s, d)}/scans"))
+
+
+@query
+def analysis_events(s, d):
+    return analyse.status_events(T.responses(s, d)).drop("processed_at")
+
+
 @query
 def tactics_out(s, d):
     return s.read.parquet(f"{_written_scans(s, d)}/tactics").drop("run")
@@ -480,6 +497,13 @@ def canonical_scans(s, d):
     return content.all_candidates(current, content.canonicalise_v1(legacy)).select(*columns)
 
 
+@query
+def domain_weekly_canonical(s, d):
+    """The domain mart over current and older scans together."""
+    current, legacy = fx(s, d, "scans", "legacy_scans")
+    return marts.domain_integrity_weekly(content.all_candidates(current, content.canonicalise_v1(legacy)))
+
+
 # --- marts and analytics ----------------------------------------------------------
 
 

@@ -218,7 +218,11 @@ TABLES: dict[str, str] = {
           concat('Headline ', cast(page_id as string)) as article_title,
           cast('2023-06-01 00:00:00' as timestamp)
             + interval '1' hour * cast(page_id % 9000 as int) as article_published_at,
-          cast(length(html) as int) as content_length_chars, 'gdelt' as feed_name
+          cast(length(html) as int) as content_length_chars, 'gdelt' as feed_name,
+          concat('Legacy ', cast(page_id % 30 as string)) as publisher_name, 'Tabloid' as media_class,
+          case when page_id % 2 = 0 then 'ZA' end as region, 'ZA' as country, cast(page_id % 101 as int) as spi_score,
+          cast('2023-06-05 00:00:00' as timestamp)
+            + interval '1' hour * cast(page_id % 9000 as int) as scanned_at
         from {pages}""",
     "fx_discovery": """
         select page_id, cast(floor(page_id / 5) as bigint) % 4 as theme_ordinal,
@@ -237,9 +241,11 @@ TABLES: dict[str, str] = {
           case when page_id % 5 = 0 then 'Russian' else 'English' end as source_language
         from {pages}""",
     "fx_ad_nodes": """
-        select t.term, t.country, c.container_pos, c.node_pos, c.text, c.advertiser_name
+        select c.fetched_at, t.term, t.country, c.container_pos, c.node_pos, c.text, c.advertiser_name
         from (
-          select conv_id as container_pos, turn as node_pos, cast(conv_id % 10 as int) as term_no,
+          select conv_id % 40 as container_pos, turn as node_pos,
+            cast('2024-01-01 00:00:00' as timestamp)
+              + interval '1' hour * cast(floor(conv_id / 40) as int) as fetched_at, cast(conv_id % 10 as int) as term_no,
             cast(floor(conv_id / 10) as bigint) % 2 as country_no,
             case (conv_id + turn) % 9 when 0 then concat('12:30 ', text) when 1 then concat('Sponsored ', text)
                  when 2 then concat('  ', text, '  ') else text end as text,
@@ -248,9 +254,11 @@ TABLES: dict[str, str] = {
           from {conversations}) c
         join fx_terms t on t.term_ordinal = c.term_no and t.country_ordinal = c.country_no""",
     "fx_ad_blocks": """
-        select t.term, t.country, d.container_pos, d.text
+        select d.fetched_at, t.term, t.country, d.container_pos, d.text
         from (
-          select doc_id as container_pos, cast(doc_id % 14 as int) as term_no,
+          select doc_id % 280 as container_pos,
+            cast('2024-01-01 00:00:00' as timestamp)
+              + interval '1' hour * cast(floor(doc_id / 280) as int) as fetched_at, cast(doc_id % 14 as int) as term_no,
             cast(floor(doc_id / 14) as bigint) % 2 as country_no,
             case doc_id % 6 when 0 then concat('Log in ', text) when 1 then concat(text, ' Facebook')
                  else text end as text

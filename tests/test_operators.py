@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pressgauge import constants as C
 from pressgauge.functions.tactics import tactic_vector
 from pressgauge.operators import ads, content, dedup, enrich, quality, queue, tactic_rows
-from pressgauge.plans import analytics, ingest, marts
+from pressgauge.plans import analyse, analytics, ingest, marts
 from pressgauge.sinks import tables as sinks
 from pressgauge.sources import seeds
 from pressgauge.sources.responses import parse_responses
@@ -228,9 +228,19 @@ def test_provenance(spark):
 LONG = "a text of more than twenty characters"
 
 
-def _nodes(spark, rows):
-    return spark.createDataFrame(
-        rows, "term string, country string, container_pos long, node_pos long, text string, advertiser_name string"
+RUN = "timestamp '2024-01-01 00:00:00'"
+
+
+def _in_run(df, run=RUN):
+    return df.withColumn("fetched_at", F.expr(run))
+
+
+def _nodes(spark, rows, run=RUN):
+    return _in_run(
+        spark.createDataFrame(
+            rows, "term string, country string, container_pos long, node_pos long, text string, advertiser_name string"
+        ),
+        run,
     )
 
 
@@ -263,14 +273,53 @@ def test_giant_card_keeps_document_order(spark):
     assert text == " ".join(f"node number {i:06d} of the card" for i in range(2000))
 
 
+def test_runs_keep_their_own_cards_and_cuts(spark):
+    runs = [f"timestamp '2024-01-0{day} 00:00:00'" for day in (1, 2, 3)]
+    rows = [(C.AD_TERMS[0][0], "US", i, 1, f"{LONG} {LONG} {i}", None) for i in range(6)]
+    nodes = _nodes(spark, rows, runs[0]).union(_nodes(spark, rows, runs[1])).union(_nodes(spark, rows, runs[2]))
+    cards = ads.assemble_ads(nodes).collect()
+    assert len(cards) == 15 and {r.ad_text for r in cards} == {f"{LONG} {LONG} {i}" for i in range(5)}
+    kept = ads.ads_per_term(ads.assemble_ads(nodes), seeds.search_terms(spark))
+    assert Counter((r.fetched_at.day, r.term_pos) for r in kept.collect()) == {(d, p): 1 for d in (1, 2, 3) for p in range(1, 6)}
+
+
+def test_failed_responses_give_events_and_no_scan(spark):
+    bodies = {"good": '{"spi_score": 72}', "text": '{"spi_score": "70"}', "half": '{"spi_score": 72.5}', "down": "upstream error", "none": "{}"}
+    rows = spark.createDataFrame(list(bodies.items()), "content_hash string, body string")
+    got = {r.content_hash: (r.spi_score, r.error_message) for r in parse_responses(rows).collect()}
+    assert got == {"good": (72, None), "text": (70, None), "half": (None, "spi_score is not an integer"), "down": (None, "response is not JSON"), "none": (None, None)}
+    items = spark.createDataFrame([(k, "rss_article", "a.com", "a.com", "n", None, None, None) for k in bodies], "content_hash string, source_type string, article_domain string, publisher_domain string, publisher_name string, advertiser_name string, search_term string, ad_country string")
+    dimension = spark.createDataFrame([], "domain string, mbfc_bias string, mbfc_factuality string, mbfc_credibility string")
+    scans = analyse.scans_from_responses(items, rows, dimension)
+    assert {r.content_hash for r in scans.filter("scanned_at is not null").collect()} == {"good", "text", "none"}
+    events = analyse.status_events(rows).orderBy("content_hash", "step").collect()
+    assert [(r.status, r.error_message) for r in events if r.content_hash == "down"] == [("processing", None), ("error", "response is not JSON")]
+    assert Counter(r.status for r in events) == {"processing": 5, "done": 3, "error": 2}
+
+
+def test_pages_belong_to_their_run(spark):
+    day = "timestamp '2024-01-0{} 00:00:00'"
+    items = _in_run(spark.createDataFrame([("u",)], "article_url string"), day.format(1)).union(_in_run(spark.createDataFrame([("u",)], "article_url string"), day.format(2)))
+    pages = [_in_run(spark.createDataFrame([("u", f"<p>{n} " + "word " * 60)], "url string, html string"), day.format(n)) for n in (1, 2)]
+    got = ingest.with_page_text(items, pages[0].union(pages[1])).collect()
+    assert sorted((r.fetched_at.day, r.body_text[:1]) for r in got) == [(1, "1"), (2, "2")]
+
+
+def test_older_scans_get_the_column_defaults(spark):
+    old = spark.createDataFrame([("h", "a.com", "T")], "content_hash string, article_domain string, article_title string")
+    row = content.canonicalise_v1(old).first()
+    assert (row.in_distribution, row.language, row.scan_status, row.truncated) == (True, "en", "success", False)
+    assert content.canonicalise_v1(old.withColumn("in_distribution", F.lit(False))).first().in_distribution is False
+
+
 def test_fallback_only_for_pages_without_cards(spark):
     block = "x" * 50
     blocks = spark.createDataFrame(
         [("t", "US", 1, block), ("t", "GB", 1, "x" * 49), ("t", "GB", 2, block + " Log in"), ("t", "GB", 3, "Facebook " + block), ("t", "GB", 4, f" {block} ")],
         "term string, country string, container_pos long, text string",
     )
-    primary = spark.createDataFrame([("t", "US")], "term string, country string")
-    got = ads.fallback_ads(blocks, primary).collect()
+    primary = _in_run(spark.createDataFrame([("t", "US")], "term string, country string"))
+    got = ads.fallback_ads(_in_run(blocks), primary).collect()
     assert [(r.country, r.container_pos, r.ad_text) for r in got] == [("GB", 4, block)]
 
 
@@ -278,14 +327,14 @@ def test_first_country_fills_the_term(spark):
     term = C.AD_TERMS[0][0]
     rows = [(term, "US", i, f"us {i}", "A") for i in range(4)] + [(term, "GB", i, f"gb {i}", "A") for i in range(4)]
     frame = spark.createDataFrame(rows, "term string, country string, container_pos long, ad_text string, advertiser_name string")
-    kept = ads.ads_per_term(frame, seeds.search_terms(spark))
+    kept = ads.ads_per_term(_in_run(frame), seeds.search_terms(spark))
     assert Counter(r.country for r in kept.collect()) == {"US": 4, "GB": 1}
-    row = ads.ad_candidates(kept.filter("country = 'GB'"), F.current_timestamp()).first()
+    row = ads.ad_candidates(kept.filter("country = 'GB'")).first()
     assert (row.region, row.country, row.article_domain, row.headline_text, row.search_term) == (
         "UK", "United Kingdom", "facebook.com", "gb 0", term,
     )
     assert "q=weight%20loss%20supplement&" in row.article_url
-    queued = ingest.with_queue_constants(ads.ad_candidates(kept, F.current_timestamp())).first()
+    queued = ingest.with_queue_constants(ads.ad_candidates(kept)).first()
     assert (queued.queued_at, queued.status, queued.taxonomy_version) == (None, "pending", C.TAXONOMY_VERSION)
 
 
