@@ -39,7 +39,9 @@ HEADLINE = (
     "enrichment_upsert",
     "queue_status",
     "queue_candidates",
+    "ingest_summary",
     "stream_dedup",
+    "stream_weekly",
 )
 
 

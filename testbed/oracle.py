@@ -427,6 +427,47 @@ SQL: dict[str, str] = {
     "stream_scans": """select p.content_hash, p.spi_score, p.the_verdict, coalesce(t.n, 0) as tactics
         from fx_response_parts p left join (select content_hash, count(*) as n from fx_response_tactics group by 1) t
           on t.content_hash = p.content_hash where not p.broken""",
+    "volume_bursts": """select grp, hour, n, z from (
+        select *, round((n - mean) / spread, 6) as z from (
+          select *, count(n) over w as seen, avg(n) over w as mean, stddev_pop(n) over w as spread from (
+            select event_type as grp, date_trunc('hour', ts) as hour, count(*) as n from {events} group by 1, 2) c
+          window w as (partition by grp order by hour rows between 24 preceding and 1 preceding)) q
+        where seen >= 3 and spread > 0) z where z >= 2.0""",
+    "citation_cycles": f"""with e as (select distinct source, target from (
+          select {host('url')} as source, {host('link')} as target from (
+            select url, unnest(regexp_extract_all(html, 'href=["''](https?://[^"''\\s>]+)', 1)) as link from fx_linked_pages) l) x
+        where source <> target)
+        select a.source as first, a.target as second from e a join e b on a.source = b.target and a.target = b.source
+        where a.source < a.target""",
+    "provenance_void": """select page_id, has_author, has_date, has_canonical, not (has_author or has_date or has_canonical) as void from (
+        select page_id, regexp_matches(lower(html), '(name|property|itemprop|rel)=["\'\'](article:)?author["\'\']') as has_author,
+          regexp_matches(lower(html), '<time[\\s>]|(property|itemprop)=["\'\'](article:published_time|datepublished)["\'\']') as has_date,
+          regexp_matches(lower(html), 'rel=["\'\']canonical["\'\']') as has_canonical from {pages}) p""",
+    "template_share": """with l as (select distinct doc_id, trim(line, ' ') as line from (
+          select doc_id, unnest(string_split(text, chr(10))) as line from {documents}) x where trim(line, ' ') <> ''),
+        c as (select line, count(*) as n from l group by line having count(*) >= 3)
+        select doc_id, count(*) as lines, count(n) as templated, round(count(n) / count(*), 6) as share
+        from l left join c using (line) group by doc_id""",
+    "cue_hits": """select doc_id, cue, hits, round(hits * 1000 / greatest(words, 1), 6) as per_1000 from (
+        select doc_id, cue, cast((length(low) - length(replace(low, lower(cue), ''))) // length(cue) as int) as hits,
+          len(list_filter(regexp_split_to_array(low, '\\s+'), lambda x: x <> '')) as words
+        from (select doc_id, lower(text) as low from {documents}) d,
+          (values ('and the'), ('of the'), ('Que'), ('nicht')) as c(cue)) q where hits > 0""",
+    "repetition_ratio": """with w as (select doc_id, list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '') as w from {documents}),
+        g as (select doc_id, [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)] as g from w)
+        select doc_id, cast(len(g) as int) as grams,
+          case when len(g) > 0 then round(1 - len(list_distinct(g)) / len(g), 6) else 0.0::double end as ratio from g""",
+    "headline_overlap": """with t as (select doc_id,
+          list_distinct(list_filter(regexp_split_to_array(lower(split_part(text, chr(10), 1)), '[^a-z0-9]+'), lambda x: x <> '')) as h,
+          list_distinct(list_filter(regexp_split_to_array(lower(substr(text, instr(text, chr(10)) + 1)), '[^a-z0-9]+'), lambda x: x <> '')) as b
+          from {documents})
+        select doc_id, cast(len(h) as int) as headline_words,
+          case when len(h) > 0 then round(len(list_intersect(h, b)) / len(h), 6) end as overlap from t""",
+    "migration_trail": """select content_hash, media_class, first_seen, cast(step as int) as step from (
+        select *, count(*) over (partition by content_hash) as classes,
+          row_number() over (partition by content_hash order by first_seen, media_class) as step from (
+            select content_hash, publisher_name as media_class, min(fetched_at) as first_seen from fx_candidates group by 1, 2) f) q
+        where classes > 1""",
 }
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pressgauge import constants as C
 from pressgauge.functions import dates, labels, tactics as tx, text, urls, values
 from pressgauge.operators import ads, content, dedup, enrich, quality, queue, tactic_rows
-from pressgauge.plans import analyse, analytics, ingest, marts
+from pressgauge.plans import analyse, analytics, ingest, marts, signals
 from pressgauge.session import configure, scratch_dir
 from pressgauge.sinks import tables as sinks
 from pressgauge.sources import discovery, enrichment, feeds, responses, seeds, taxonomy
@@ -645,6 +645,59 @@ def constraint_report(s, d):
     )
 
 
+# --- corpus signals ---------------------------------------------------------------
+
+CUES = ("and the", "of the", "Que", "nicht")
+
+
+@query
+def volume_bursts(s, d):
+    events = T.given(s, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    return signals.volume_bursts(events)
+
+
+@query
+def citation_cycles(s, d):
+    linked = fx(s, d, "linked_pages")
+    return signals.citation_cycles(signals.link_edges(linked))
+
+
+@query
+def provenance_void(s, d):
+    return signals.provenance_void(T.given(s, d, "pages"))
+
+
+@query
+def template_share(s, d):
+    return signals.template_share(T.given(s, d, "documents"))
+
+
+@query
+def cue_hits(s, d):
+    return signals.cue_hits(T.given(s, d, "documents"), CUES)
+
+
+@query
+def repetition_ratio(s, d):
+    return signals.repetition_ratio(T.given(s, d, "documents"))
+
+
+@query
+def headline_overlap(s, d):
+    docs = T.given(s, d, "documents").select(
+        "doc_id", F.substring_index("text", "\n", 1).alias("headline"), F.expr("substring(text, locate('\n', text) + 1)").alias("body")
+    )
+    return signals.headline_overlap(docs, "headline", "body")
+
+
+@query
+def migration_trail(s, d):
+    sightings = fx(s, d, "candidates").select(
+        "content_hash", F.col("publisher_name").alias("media_class"), F.col("fetched_at").alias("scanned_at")
+    )
+    return signals.migration_trail(sightings)
+
+
 # --- streaming ----------------------------------------------------------------------
 
 

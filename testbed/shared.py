@@ -199,6 +199,10 @@ TABLES: dict[str, str] = {
           concat('<html><head><STYLE>p[m:0]</STYLE><script type="x">var t="</p>";</script></head><body><p>',
                  replace(replace(text, '&', '&amp;'), '<', '&lt;'), '</p>&nbsp;</body></html>')
         from {documents}""",
+    # pages that cite the page before or after them, so that some domains cite each other
+    "fx_linked_pages": """
+        select a.page_id, a.url, concat('<a href="', b.url, '">x</a> ', a.html) as html
+        from {pages} a join {pages} b on b.page_id = case when a.page_id % 3 = 0 then a.page_id + 1 else a.page_id - 1 end""",
     # URLs of the given pages in the forms feeds and records hold them
     "fx_urls": """
         select page_id, case page_id % 7 when 0 then url when 1 then upper(url)
