@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pressgauge.llm import bag_minhash, compress_tox, piece_codec, quality_votes, winnow
 from pressgauge.llm.common import given, stored

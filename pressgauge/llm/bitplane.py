@@ -46,6 +46,7 @@ class _Encoder:
     """
 
     CUT = re.compile(r"(?<=\S) ")
+    GAPS = [c + " " for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"]
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -54,13 +55,18 @@ class _Encoder:
         self.known: dict[str, bytes] = {}
         self.marks = dict(zip(".,;:!?", self._encode(list(".,;:!?")), strict=True))
 
+    def cut(self, text: str) -> list[str]:
+        if text.isascii() and not any(gap in text for gap in self.GAPS):
+            return text.split(" ")  # every space follows a character that is no white space
+        return self.CUT.split(text)
+
     def _encode(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        cut = [self.CUT.split(text) for text in texts]
+        cut = [self.cut(text) for text in texts]
         heads = self._encode([pieces[0] for pieces in cut])
         known = self.known
         found = [[known.get(p) for p in pieces[1:]] for pieces in cut]

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from itertools import chain
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressgauge.llm.common import map_batches, ship
@@ -236,15 +236,16 @@ def encoded(docs: DataFrame, model_file: str, text_col: str = "text") -> DataFra
     return docs.withColumn("ids", ids(F.col(text_col)))
 
 
-def decoded(ids: Column, model_file: str) -> Column:
-    """The text of an array of ids; null for null. The ids are those of a session that ``encoded`` has been used in."""
+def decoded(docs: DataFrame, model_file: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
+    """``docs`` with the text of each array of ids; null for null."""
 
     @F.pandas_udf("string")
     def text(arrays):
         decode = codec(model_file).decode
         return arrays.map(lambda a: None if a is None else decode(a).decode())
 
-    return text(ids)
+    ship(docs.sparkSession)
+    return docs.withColumn(out_col, text(F.col(ids_col)))
 
 
 def digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressgauge.operators.dedup import top_k
 from pressgauge.plans.marts import in_scope
 
 

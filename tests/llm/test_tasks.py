@@ -92,6 +92,8 @@ def test_pieces_equal_the_library(spark, hostile, nothing):
         expect[i, len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids))] += 1
     assert Counter(tuple(r) for r in rows) == expect
     assert piece_codec.digests(nothing, PIECES).count() == 0
+    back = piece_codec.decoded(piece_codec.encoded(hostile, PIECES), PIECES).select("text", "decoded").collect()
+    assert all(r.decoded == (r.text or "").replace("▁", " ") for r in back)
 
 
 def test_pieces_on_random_texts():
