@@ -8,9 +8,9 @@ shares its first points with a lighter one and costs no more than its ranges.
 A register keeps its earliest point; two texts agree in a register with probability
 equal to their weighted Jaccard similarity.
 
-Registers are banded. Within a bucket, members are compared with the bucket's first
-member only; the links found join into components, and whatever still shares a
-bucket across components is compared then. So no pairs inside a component are
+Registers are banded. Within a bucket, members are compared with one of them only,
+a few times over; the links found join into components, and whatever still shares
+buckets across components is compared then. So no pairs inside a component are
 listed, and no link between components is lost. Every link is verified exactly
 on the multisets.
 """
@@ -155,59 +155,105 @@ def _shingle_sets(texts: DataFrame) -> DataFrame:
     return map_batches(texts.select("id", "text"), run, "id long, grams array<long>")
 
 
-def _alike(left: str, right: str, threshold: float) -> Column:
-    """Whether two nodes may reach the threshold, by weights and shared bands."""
-    light, heavy = F.least(f"{left}.weight", f"{right}.weight"), F.greatest(f"{left}.weight", f"{right}.weight")
-    return (light >= heavy * threshold) & (F.size(F.array_intersect(f"{left}.bands", f"{right}.bands")) >= LEAST_BANDS)
+def _small(df: DataFrame, most: int = 300_000) -> DataFrame:
+    """``df``, written already and a few numbers wide, to be broadcast if it has at most ``most`` rows."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+class _Verifier:
+    """Checks pairs of nodes on their multisets, each of which is computed once."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, threshold: float):
+        self.docs, self.nodes, self.threshold = docs, nodes, threshold
+        self.grams: DataFrame | None = None
+
+    def _extend(self, pairs: DataFrame) -> DataFrame:
+        met = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        fresh = met if self.grams is None else met.join(self.grams.select("id"), "id", "left_anti")
+        wanted = stored(self.nodes.select("id", "doc", "ka", "kb").join(fresh, "id", "left_semi"), "wanted-texts")
+        same = (F.col("d.ka") == F.col("w.ka")) & (F.col("d.kb") == F.col("w.kb")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc"))
+        texts = self.docs.select("doc_id", *_key(F.col("text")), "text").alias("d").join(_small(wanted).alias("w"), same)
+        more = stored(_shingle_sets(texts.select("w.id", "d.text")), "shingle-sets")
+        self.grams = more if self.grams is None else self.grams.unionByName(more)
+        return self.grams
+
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that reach the threshold."""
+        pairs = stored(pairs, "candidate-pairs")
+        grams = self._extend(pairs)
+        firsts = grams.join(_small(stored(pairs.select(F.col("a").alias("id")).distinct(), "firsts")), "id", "left_semi")
+        both = (
+            grams.select(F.col("id").alias("b"), F.col("grams").alias("gb")).join(_small(pairs), "b")
+            .join(firsts.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a")
+            .withColumn("common", F.size(F.array_intersect("ga", "gb")))
+        )
+        reached = F.col("common") >= self.threshold * (F.size("ga") + F.size("gb") - F.col("common"))
+        return stored(both.where(reached).select("a", "b").distinct(), "links")
+
+
+def _often(pairs: DataFrame) -> DataFrame:
+    """Pairs met in enough buckets."""
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_BANDS).select("a", "b")
+
+
+def _joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
+    """id, part after ``links`` have joined parts; ids that are in no link stand for themselves and are left out."""
+    if parts is None:
+        return stored(components(links), "parts")
+    old = _small(parts)
+    edges = (
+        links.join(old.select(F.col("id").alias("a"), F.col("part").alias("pa")), "a", "left")
+        .join(old.select(F.col("id").alias("b"), F.col("part").alias("pb")), "b", "left")
+        .select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"))
+    )
+    moved = stored(components(edges), "moved-parts")
+    to = _small(moved)
+    kept = parts.join(to.select(F.col("id").alias("part"), F.col("part").alias("new")), "part", "left")
+    alone = moved.join(parts.select("id"), "id", "left_anti")
+    return stored(kept.select("id", F.coalesce("new", "part").alias("part")).union(alone.select("id", "part")), "parts")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose multisets reach the threshold."""
-    pairs = stored(pairs, "candidate-pairs")
-    met = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = nodes.join(met, "id", "left_semi").select("id", "doc", "ka", "kb")
-    texts = (
-        docs.select("doc_id", *_key(F.col("text")), "text").alias("d")
-        .join(wanted.alias("w"), (F.col("d.ka") == F.col("w.ka")) & (F.col("d.kb") == F.col("w.kb")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc")))
-        .select("w.id", "d.text")
-    )
-    grams = stored(_shingle_sets(texts), "shingle-sets")
-    both = (
-        pairs.join(grams.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
-        .join(grams.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a")
-        .withColumn("common", F.size(F.array_intersect("ga", "gb")))
-    )
-    return both.where(F.col("common") >= threshold * (F.size("ga") + F.size("gb") - F.col("common"))).select("a", "b").distinct()
-
-
-def _links(docs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """a, b: links whose components are those of all links between nodes that share bands."""
-    narrow = nodes.select("id", F.explode("bands").alias("h"))
-    leaders = narrow.groupBy("h").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").select("h", "a")
-    starred = narrow.join(leaders, "h").where(F.col("a") < F.col("id")).select("a", F.col("id").alias("b")).distinct()
-    sized = nodes.select("id", "weight", "bands")
-    pairs = (
-        starred.join(sized.alias("x"), F.col("a") == F.col("x.id")).join(sized.alias("y"), F.col("b") == F.col("y.id"))
-        .where(_alike("x", "y", threshold)).select("a", "b")
-    )
-    first = stored(_verified(pairs, docs, nodes, threshold), "links")
-    part_of = components(first)
-    placed = stored(
-        nodes.join(part_of, "id", "left").select("id", F.coalesce("part", "id").alias("part"), "weight", "bands"), "placed"
-    )
-    spread = placed.select("id", "part", F.explode("bands").alias("h"))
-    mixed = spread.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("h")
-    left = placed.select("*", F.explode("bands").alias("h")).join(mixed, "h")
-    shared = F.array_intersect("x.bands", "y.bands")
+def _parts(docs: DataFrame, nodes: DataFrame, threshold: float, rounds: int = 8) -> DataFrame:
+    """id, part: the components of all links between nodes that share enough bands, for nodes in any link.
+
+    Each round compares the members of every bucket with one of them, chosen by a
+    hash, if they are not in its component already; it is repeated while it still
+    joins many. Then all pairs that share a bucket across components are compared,
+    so what the rounds left out is found.
+    """
+    verify = _Verifier(docs, nodes, threshold)
+    narrow = nodes.select("id", "weight", F.explode("bands").alias("h"))
+    several = narrow.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    rows = stored(narrow.join(several, "h").select("h", "id", "weight", F.col("id").alias("part")), "buckets")
+    light = lambda x, y: F.least(x, y) >= F.greatest(x, y) * threshold
+    parts: DataFrame | None = None
+    n_links = 0
+    for turn in range(rounds):
+        chosen = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("o"), F.col("id"), F.col("part"), F.col("weight"))).alias("l")
+        mixed = rows.groupBy("h").agg(chosen, F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+        mixed = stored(mixed.select("h", "l.id", "l.part", "l.weight").toDF("h", "lead", "lead_part", "lead_weight"), "leaders")
+        rows = stored(rows.join(_small(mixed), "h").select(*rows.columns, "lead", "lead_part", "lead_weight"), "mixed-buckets")
+        apart = rows.where((F.col("part") != F.col("lead_part")) & light(F.col("weight"), F.col("lead_weight")))
+        # the leader comes first: few of them, with many partners each
+        found = verify(_often(apart.select(F.col("lead").alias("a"), F.col("id").alias("b"))))
+        rows = rows.drop("lead", "lead_part", "lead_weight")
+        n_new = found.count()
+        n_links += n_new
+        if n_new or parts is None:
+            parts = _joined(parts, found)
+            new = _small(parts.withColumnRenamed("part", "new"))
+            rows = rows.join(new, "id", "left").select("h", "id", "weight", F.coalesce("new", "id").alias("part"))
+        if 300 * n_new <= n_links:
+            break
+    mixed = rows.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("h")
+    left = stored(rows.join(mixed, "h"), "mixed-buckets")
     crossing = (
         left.alias("x")
-        # each pair once, at the first band it shares
-        .join(left.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.part") < F.col("y.part")) & _alike("x", "y", threshold) & (F.get(shared, F.lit(0)) == F.col("x.h")))
+        .join(left.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.part") < F.col("y.part")) & light(F.col("x.weight"), F.col("y.weight")))
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        .join(first.select(F.col("a").alias("fa"), F.col("b").alias("fb")), ((F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb"))), "left_anti")
-    )
-    second = _verified(crossing, docs, nodes, threshold)
-    return stored(first.union(second), "all-links")
+    )
+    last = verify(_often(crossing))
+    return _joined(parts, last) if last.count() else parts
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
@@ -243,7 +289,7 @@ def _classes(held: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
         F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.first("weight").alias("weight"), F.first("bands").alias("bands")
     )
     nodes = stored(nodes.select(F.monotonically_increasing_id().alias("id"), "*"), "text-classes")
-    part_of = components(_links(docs, nodes, threshold))
+    part_of = _parts(docs, nodes, threshold)
     placed = nodes.select("id", "ka", "kb", "doc", "copies").join(part_of, "id", "left").withColumn("part", F.coalesce("part", "id"))
     first = F.min(F.struct(F.col("doc").isNull().alias("none"), F.col("doc"), F.col("id"))).alias("first")
     groups = placed.groupBy("part").agg(first, F.sum("copies").alias("n_class"))
