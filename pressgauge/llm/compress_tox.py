@@ -1,8 +1,9 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on labelled texts, one on ordinary and one
-on toxic text. Both end in the same ordinary part; the toxic one also holds what
-toxic texts repeat and ordinary ones lack, so the two differ only in what is toxic.
+Two zstandard dictionaries are made from labelled texts. Both end in the same part,
+which zstandard's trainer makes from ordinary windows; the toxic one also holds the
+words that toxic texts repeat and ordinary ones lack, chosen by count and contrast
+and not by the trainer, so the two differ only in what is toxic.
 A text is cut into windows of a few words, each is compressed with either
 dictionary, and the difference of the lengths says how much better the toxic one
 fits. How often each difference occurs in ordinary windows and in toxic ones gives
@@ -27,8 +28,9 @@ from pressgauge.llm.common import ship
 TOXIC_SAMPLE, ORDINARY_SAMPLE = 1500, 3000
 WINDOW = 8
 ORDINARY_BYTES, TOXIC_BYTES = 8192, 4096
-#: A segment is toxic if this share of the toxic texts has it and it is so many times rarer in ordinary ones.
-SUPPORT, CONTRAST = 0.02, 30.0
+#: A segment is toxic if so many toxic texts have it, or this share of them if that is fewer, and both it and its beginning are so many times rarer in ordinary ones.
+LEAST_TEXTS, SUPPORT, CONTRAST = 8, 0.02, 30.0
+BEGINNING = 4  # bytes of a word that the shortest match takes in
 SPREAD = 0.05  # share of toxic windows that the mixture assumes in a toxic text
 #: Written between words. With matches of ``LEAST_MATCH`` bytes and more, only the beginnings of words, or whole ones, match.
 EDGE, LEAST_MATCH = b"\x01 ", 6
@@ -101,8 +103,8 @@ def _segments(text: str) -> set[bytes]:
 
 def look_alikes(typical: list[bytes], ordinary: list[str]) -> bytes:
     """Ordinary words that begin as toxic ones do, the most frequent last; both dictionaries hold them."""
-    begin = {w[:4] for w in typical}
-    seen = Counter(w for t in ordinary for w in _segments(t) if w[:4] in begin and len(w) > 4)
+    begin = {w[:BEGINNING] for w in typical}
+    seen = Counter(w for t in ordinary for w in _segments(t) if w[:BEGINNING] in begin and len(w) > BEGINNING)
     chosen, size = [], 0
     for word, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0])):
         size += len(word) + len(EDGE)
@@ -114,12 +116,19 @@ def look_alikes(typical: list[bytes], ordinary: list[str]) -> bytes:
 
 def toxic_segments(toxic: list[str], ordinary: list[str]) -> list[bytes]:
     """Words typical of toxic texts, the most telling first."""
-    here, there = (Counter(w for t in texts for w in _segments(t)) for texts in (toxic, ordinary))
-    found = []
+    here, there, here_begun, there_begun = Counter(), Counter(), Counter(), Counter()
+    for texts, whole, begun in ((toxic, here, here_begun), (ordinary, there, there_begun)):
+        for text in texts:
+            words = _segments(text)
+            whole.update(words)
+            begun.update({w[:BEGINNING] for w in words})
+    found, odds = [], (len(ordinary) + 1) / (len(toxic) + 1)
+    least, contrast = max(2, min(LEAST_TEXTS, SUPPORT * len(toxic))), min(CONTRAST, len(ordinary) / 4)
     for word, n in here.items():
-        rate, other = (n + 0.5) / (len(toxic) + 1), (there[word] + 0.5) / (len(ordinary) + 1)
-        if len(word) >= 3 and n >= max(2, SUPPORT * len(toxic)) and rate > min(CONTRAST, len(ordinary) / 4) * other:
-            found.append((-n * math.log(rate / other), word))
+        begin = word[:BEGINNING]
+        rate = odds * min((n + 0.5) / (there[word] + 0.5), (here_begun[begin] + 0.5) / (there_begun[begin] + 0.5))
+        if len(word) >= 3 and n >= least and rate > contrast:
+            found.append((-n * math.log(rate), word))
     return [word for _, word in sorted(found)]
 
 

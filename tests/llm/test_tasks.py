@@ -264,3 +264,15 @@ def test_toxicity(spark, hostile, nothing):
     assert compress_tox.score_documents(hostile, labels).count() == len(HOSTILE)
     assert compress_tox.score_documents(hostile, labels.limit(0)).where("score is null").count() == 0
     assert compress_tox.score_documents(nothing, labels).count() == 0
+
+
+def test_toxic_words_of_a_small_share_are_learned():
+    rare = [f"{'vilewretch' if i % 2 else 'grubscum'} said {i}" for i in range(20)]
+    toxic = rare + [f"dolthead here and there {i}" for i in range(1000)]
+    found = compress_tox.toxic_segments(toxic, [f"said here and there {i}" for i in range(2000)])
+    assert {b"vilewretch", b"grubscum", b"dolthead"} == set(found)
+
+
+def test_words_that_begin_as_ordinary_ones_are_not_toxic():
+    found = compress_tox.toxic_segments(["vilewretch weatherling"] * 300, ["the weather and the weathervane"] * 600)
+    assert found == [b"vilewretch"]
