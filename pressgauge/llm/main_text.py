@@ -4,8 +4,10 @@ A page is read into a tree. Elements that are never article text (menus, scripts
 forms, adverts and the like, by tag, role, class or id) are set aside. Every other
 node gets its composite density, the characters per tag adjusted by how much of
 both belongs to links, and the sum of its children's densities. The subtree with
-the largest sum is the article; the least density on the path from the body to it
-is the threshold by which neighbours along the path belong to it as well.
+the largest sum is the article's core. The article is the core's highest ancestor,
+within its <article> or <main> if it has one, up to which no step adds mostly links;
+every block in it that is not set aside is kept. Beside it, the least density on the
+path from the body to the core is the threshold by which neighbours belong to it.
 """
 
 from __future__ import annotations
@@ -149,6 +151,7 @@ class Page:
                 link_chars[up] += link_chars[i]
                 tags[up] += tags[i] + 1
                 link_tags[up] += link_tags[i] + (self.tag[i] == "a")
+        self.sizes = chars, link_chars
         density, sums = [0.0] * n, [0.0] * n
         of_page = link_chars[0] / max(chars[0], 1)
         for i in range(n):
@@ -171,9 +174,21 @@ class Page:
             path.append(node)
             node = self.parent[node]
         threshold = min(density[i] for i in path)
+        root = self._root(path)
         on_path = set(path)
         beside = {i for i in range(1, len(density)) if self.parent[i] in on_path and i not in on_path and not self.aside[i]}
-        return {top} | {i for i in beside if self.parent[i] != top and density[i] >= threshold > 0}
+        return {root} | {i for i in beside if self.parent[i] != top and density[i] >= threshold > 0}
+
+    def _root(self, path: list[int]) -> int:
+        """Of the core and its ancestors, the highest that is reached without adding mostly links."""
+        named = [place for place, i in enumerate(path) if self.tag[i] in ("article", "main")]
+        chars, link_chars = self.sizes
+        root = path[0]
+        for up in path[1 : (named[-1] + 1 if named else None)]:
+            if 2 * (link_chars[up] - link_chars[root]) > chars[up] - chars[root]:
+                break
+            root = up
+        return root
 
     def text(self) -> str:
         """The article's blocks, one per line."""

@@ -276,3 +276,12 @@ def test_toxic_words_of_a_small_share_are_learned():
 def test_words_that_begin_as_ordinary_ones_are_not_toxic():
     found = compress_tox.toxic_segments(["vilewretch weatherling"] * 300, ["the weather and the weathervane"] * 600)
     assert found == [b"vilewretch"]
+
+
+def test_main_text_keeps_all_blocks_of_the_article():
+    para = "A paragraph of the story that goes on for a good while and then some more. " * 4
+    wrapped = f"<body><nav><a href=1>x</a></nav><article><h1>{'Head ' * 12}</h1><div>{f'<p>{para}</p>' * 10}</div></article>"
+    assert main_text.main_text(wrapped).split("\n") == [("Head " * 12).strip(), *[para.strip()] * 10]
+    short = "A short section of two lines, sixty characters or near it."
+    sections = f"<article><section>{f'<p>{para}</p>' * 8}</section><section>{f'<p>{short}</p>' * 2}</section></article>"
+    assert main_text.main_text(f"<body>{sections}<div>{'<a href=2>More stories here</a> ' * 9}</div>").split("\n") == [*[para.strip()] * 8, short, short]
