@@ -46,21 +46,40 @@ _TOKEN = re.compile(
     r"|<([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)",
     re.S,
 )
-_NAMES = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: Names that readers' own words stand under, which may outweigh the article.
+READERS = frozenset("comment comments disqus respond reply replies".split())
+#: Words before a name that say it is something else: no-sidebar, has-sidebar.
+OTHERWISE = frozenset("no non not without with has have had is in hide hidden post".split())
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s>]++)))?+|[\"'][^\s]*+")
 
 
-def _noise(tag: str, attributes: str) -> bool:
+def _named_noise(value: str) -> str | None:
+    """The noise name that a whole class or id, its first part, or its last part is."""
+    for token in value.split():
+        if token in NOISE:
+            return token
+        first, *_, last = re.split(r"[_\-]+", token) if "-" in token or "_" in token else (token, token)
+        if first in NOISE:
+            return first
+        if last in NOISE and first not in OTHERWISE:
+            return last
+    return None
+
+
+def _noise(tag: str, attributes: str) -> str | bool:
+    """Whether an element is set aside; if its class or id alone says so, the name that does."""
     if tag in ASIDE:
         return True
     if not attributes.strip() or tag in ("html", "body", "main", "article"):
         return False
-    for name, *values in _NAMES.findall(attributes):
+    named: str | bool = False
+    for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in NOISE_ROLES:
-            return True
-        if name in ("class", "id") and not NOISE.isdisjoint(re.split(r"[\s_\-]+", value)):
+        if name == "hidden" or name == "aria-hidden" and value.strip() == "true" or name == "role" and not NOISE_ROLES.isdisjoint(value.split()):
             return True
-    return False
+        if name in ("class", "id"):
+            named = named or _named_noise(value) or False
+    return named
 
 
 class Page:
@@ -68,6 +87,7 @@ class Page:
 
     def __init__(self, source: str):
         self.parent, self.tag, self.aside = [-1], ["body"], [False]
+        self.named: dict[int, str] = {}  # nodes that only a class or id speaks against
         self.flow: list[tuple[int, str | None]] = []  # (node, text), or (node, None) for a break between blocks
         stack, at, size = [0], 0, len(source)
         while at < size:
@@ -86,6 +106,29 @@ class Page:
                 if tag in RAW and not found[3].endswith("/"):
                     over = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(source, at)
                     at = over.start() if over else size
+        if self.named:
+            self._set_aside()
+
+    def _set_aside(self) -> None:
+        """Set aside what its class or id speaks against, unless it holds most of the page's unlinked text and all of its articles'."""
+        n = len(self.parent)
+        linked, chars, below, within, of_article = [False] * n, [0] * n, [False] * n, [False] * n, [0] * n
+        for i in range(1, n):
+            up = self.parent[i]
+            linked[i] = linked[up] or self.tag[i] == "a"
+            below[i] = below[up] or self.named.get(i) in READERS
+            within[i] = within[up] or self.tag[i] in ("article", "main")
+        for node, text in self.flow:
+            if text and not (self.aside[node] or linked[node] or below[node]):
+                size = len("".join(text.split()))
+                chars[node] += size
+                of_article[node] += size if within[node] else 0
+        for i in range(n - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+            of_article[self.parent[i]] += of_article[i]
+        for i in range(1, n):
+            named = i in self.named and (below[i] or 2 * chars[i] <= chars[0] or of_article[i] < of_article[0])
+            self.aside[i] = self.aside[i] or self.aside[self.parent[i]] or named
 
     def _break(self, node: int) -> None:
         self.flow.append((node, None))
@@ -103,7 +146,10 @@ class Page:
         node = len(self.parent)
         self.parent.append(stack[-1])
         self.tag.append(tag)
-        self.aside.append(self.aside[stack[-1]] or _noise(tag, attributes))
+        noise = _noise(tag, attributes)
+        if isinstance(noise, str):
+            self.named[node] = noise
+        self.aside.append(self.aside[stack[-1]] or noise is True)
         if tag not in VOID and not (attributes.endswith("/") and tag not in BLOCK):
             stack.append(node)
 

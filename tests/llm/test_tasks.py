@@ -285,3 +285,29 @@ def test_main_text_keeps_all_blocks_of_the_article():
     short = "A short section of two lines, sixty characters or near it."
     sections = f"<article><section>{f'<p>{para}</p>' * 8}</section><section>{f'<p>{short}</p>' * 2}</section></article>"
     assert main_text.main_text(f"<body>{sections}<div>{'<a href=2>More stories here</a> ' * 9}</div>").split("\n") == [*[para.strip()] * 8, short, short]
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    ["style='overflow:hidden'", "data-hidden='false'", "data-role=search", "title=\"a class='ad' hidden\"", "class='content no-sidebar'", "class=with-sidebar",
+     "class='post-related-body'", "class='content widget'"],
+)
+def test_containers_that_are_no_noise_keep_their_text(attributes):
+    para = "A paragraph of the story that goes on for a good while. " * 3
+    page = f"<body><div {attributes}><p>{para}</p><p>{para}</p></div><div class='ad-slot'>Buy now</div><div class='main-nav'>Menu</div>"
+    assert main_text.main_text(page).split("\n") == [para.strip()] * 2
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "x=1 hidden", "aria-hidden=true", "role='search'", "class='a sidebar'", "id=site-footer", "class=cookie_notice"])
+def test_noise_is_set_aside(attributes):
+    para = "A paragraph of the story that goes on for a good while. " * 3
+    assert main_text.main_text(f"<body><article><p>{para}</p><div {attributes}>Not of the story</div></article>") == para.strip()
+
+
+def test_adverts_may_outweigh_the_article():
+    assert main_text.main_text("<body><div class=ad>An advert of more words than the story has.</div><article><h1>Head</h1><p>Short.</p></article>") == "Head\nShort."
+
+
+def test_comments_may_outweigh_the_article():
+    para = "A paragraph of the story that goes on for a good while. " * 3
+    assert main_text.main_text(f"<body><div><p>{para}</p></div><div id=comments>{'<p>Readers say much. </p>' * 90}</div>") == para.strip()
