@@ -7,6 +7,17 @@ from pressgauge.llm.license_join import NOTICES
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_RUNS = "unnest(flatten(list_transform([1, 2, 3], lambda n: list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' ')))))"
+
+
+def _crc_of_byte(value: int) -> int:
+    for _ in range(8):
+        value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+    return value
+
+
+_CRC = [_crc_of_byte(b) for b in range(256)]
 _NOTICES = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(NOTICES))
 
 SQL: dict[str, str] = {}
@@ -56,3 +67,47 @@ select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(len(name
   sha256(coalesce(array_to_string(names, ','), '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join places using (rid) left join named using (rid)
 """
+
+SQL["op11_quadtree_divergence"] = f"""
+with d as (select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source,
+   {_TERMS} as w from documents),
+tok as (select rid, lang, source, unnest(w) as term from d),
+kept as (select lang, term, count(*)::hugeint as c from tok group by all having count(distinct rid) >= 3),
+v as (select lang, count(*)::hugeint as v, sum(c)::hugeint as n from kept group by all),
+grp as (select distinct lang, source from d),
+gc as (select lang, source, term, count(*)::hugeint as c from tok semi join kept using (lang, term) group by all),
+gn as (select lang, source, sum(c)::hugeint as n from gc group by all),
+cell as (select lang, source, term, coalesce(gc.c, 0) as c,
+   1 + (1000000000::hugeint * (coalesce(gc.c, 0) + 1)) // (coalesce(gn.n, 0) + v.v) as p,
+   1 + (1000000000::hugeint * (kept.c + 1)) // (v.n + v.v) as q
+ from grp join kept using (lang) join v using (lang) left join gn using (lang, source) left join gc using (lang, source, term)),
+pv as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+ from cell a join cell b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (select lang, g.source, 'pair' as part, h.source as item, coalesce(pv.value, 0)::bigint as value
+ from grp g join grp h using (lang) left join pv on pv.lang = lang and pv.source = g.source and pv.item = h.source where g.source <> h.source),
+terms as (select lang, source, 'term' as part, term as item, ((p - q) * (p - q) // q)::bigint as value from cell where c > 0 and p > q),
+ranked as (select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank
+ from (select * from pairs union all select * from terms))
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 200
+"""
+
+SQL["op12_median_resample"] = f"""
+with d as (select row_number() over () as rid, doc_id, {_WORDS} as w from documents),
+b as (select {_WORDS} as w from benchmark),
+df as (select rid, {_RUNS} as f from d),
+bf as (select {_RUNS} as f from b),
+dc as (select rid, f, count(*) as n from df group by all),
+names as (select distinct f from (select f from dc union all select f from bf)),
+crc as (select f, xor(list_reduce(list_transform(range(0, octet_length(encode(f))), lambda i: ('0x' || substr(hex(encode(f)), 2 * i + 1, 2))::bigint),
+   lambda c, x: xor(c >> 8, ({_CRC}::bigint[])[(xor(c, x) & 255) + 1]), 4294967295::bigint), 4294967295::bigint) % 10000 as bucket from names),
+s as (select bucket, sum(n) as s from dc join crc using (f) group by all),
+t as (select bucket, count(*) as t from bf join crc using (f) group by all),
+tot as (select (select coalesce(sum(s), 0) from s)::double as sa, (select coalesce(sum(t), 0) from t)::double as ta),
+gain as (select bucket, floor(1000 * ln((coalesce(t, 0) + 1.0::double) * (sa + 10000) / ((s + 1.0::double) * (ta + 10000))))::bigint as g from s left join t using (bucket), tot),
+w as (select rid, sum(n)::bigint as n_features, sum(n * g)::bigint as weight from dc join crc using (f) join gain using (bucket) group by all),
+scored as (select rid, doc_id, len(d.w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+   ('0x' || substr(sha256('42:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint as h from d left join w using (rid)),
+final as (select *, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296)))::bigint as score from scored),
+ranked as (select rid, row_number() over (order by score desc, doc_id) as r, count(*) over () as n from final where n_words >= 20)
+select doc_id, n_features, weight, score, case when r <= 5 * n // 100 then r end as rank, n_words from final left join ranked using (rid)
+"""

@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgauge.llm import bag_minhash, bitplane, brown_lm, compress_tox, license_join, main_text, oracles, piece_codec, quality_votes, splitters, winnow
+from pressgauge.llm import (
+    bag_minhash, bitplane, bitsliced, brown_lm, compress_tox, divergence, license_join, main_text, oracles, piece_codec, quality_votes, resample,
+    splitters, winnow,
+)
 from pressgauge.llm.common import given
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +70,18 @@ def op9_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitters.assign_shards(given(spark, sf_dir, "documents"))
+
+
+@query
+def op11_quadtree_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(given(spark, sf_dir, "documents"))
+
+
+@query
+def op12_median_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_bitsliced_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.near_duplicates(given(spark, sf_dir, "documents"))

@@ -40,5 +40,5 @@ def test_stages_on_awkward_and_empty_tables(spark, hostile, nothing):
 
 def test_registered(spark):
     assert {n for n in driver.queries() if n.startswith("op")} == set(REGISTRY)
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 14))
     assert driver.queries()["pipeline"] is pipeline.run
