@@ -8,10 +8,8 @@ from testbed.queries import REGISTRY
 
 
 @pytest.fixture(scope="module")
-def con(request):
-    from conftest import SF_DIR
-
-    return duck(SF_DIR)
+def con(sf_dir):
+    return duck(sf_dir)
 
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
