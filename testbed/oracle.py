@@ -463,6 +463,35 @@ SQL: dict[str, str] = {
           from {documents})
         select doc_id, cast(len(h) as int) as headline_words,
           case when len(h) > 0 then round(len(list_intersect(h, b)) / len(h), 6) end as overlap from t""",
+    "coordinated_text": """with recursive t as (select text, min(doc_id) as id from documents group by text),
+        w as (select id, string_split_regex(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ') as w from t where trim(text) <> ''),
+        g as (select distinct id, unnest(case when len(w) < 5 then [array_to_string(w, ' ')]
+            else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as gram from w),
+        n as (select id, count(*) as n from g group by id),
+        c as (select a.id as a, b.id as b, count(*) as c from g a join g b on a.gram = b.gram and a.id <> b.id group by all),
+        l as (select a, b from c join n x on x.id = a join n y on y.id = b where c >= (x.n + y.n - c) * 0.8::double),
+        r(id, other) as (select id, id from t union select r.id, l.b from r join l on l.a = r.other),
+        p as (select id, min(other) as cluster_id from r group by id),
+        s as (select p.cluster_id, d.source, cast('2024-01-01 00:00:00' as timestamp)
+              + to_hours(cast(floor(doc_id / 80) as int) + case when doc_id % 3 = 0 then 240 else 0 end) as ts
+            from documents d join t using (text) join p using (id)),
+        o as (select *, coalesce(ts - lag(ts) over (partition by cluster_id order by ts) > interval 6 hour, true) as opens from s),
+        u as (select *, sum(opens::int) over (partition by cluster_id order by ts) as session from o)
+        select cluster_id, min(ts) as first_seen, max(ts) as last_seen, cast(epoch(max(ts)) - epoch(min(ts)) as bigint) as span_seconds,
+            count(*) as items, count(distinct source) as sources
+        from u group by cluster_id, session having count(distinct source) >= 2""",
+    "semantic_consensus": """with recursive e as (select vec_id, label, embedding::double[] as v from embeddings),
+        echo as (select vec_id as own, vec_id + (select count(*) from e) as vec_id, cast(vec_id % 7 as int) as label,
+            case when vec_id % 3 = 0 then 0 else vec_id - vec_id % 4 end as of from e where vec_id % 4 > 0),
+        a as (select vec_id, label, v from e union all
+            select k.vec_id, k.label, list_transform(range(1, len(b.v) + 1), lambda i: b.v[i] + y.v[i] * (k.own % 4) * 0.125::double)
+            from echo k join e b on b.vec_id = k.of join e y on y.vec_id = k.own),
+        m as (select vec_id, v, sqrt(list_dot_product(v, v)) as norm from a),
+        l as (select x.vec_id as a, y.vec_id as b from m x join m y on x.vec_id <> y.vec_id and list_dot_product(x.v, y.v) >= x.norm * y.norm * 0.9::double),
+        r(id, other) as (select vec_id, vec_id from m union select r.id, l.b from r join l on l.a = r.other),
+        p as (select id, min(other) as cluster_id from r group by id)
+        select cluster_id, count(*) as items, count(distinct label) as voices
+        from p join a on a.vec_id = p.id group by cluster_id having count(distinct label) >= 2""",
     "migration_trail": """select content_hash, media_class, first_seen, cast(step as int) as step from (
         select *, count(*) over (partition by content_hash) as classes,
           row_number() over (partition by content_hash order by first_seen, media_class) as step from (

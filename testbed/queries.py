@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pressgauge import constants as C
 from pressgauge.functions import dates, labels, tactics as tx, text, urls, values
 from pressgauge.operators import ads, content, dedup, enrich, quality, queue, tactic_rows
-from pressgauge.plans import analyse, analytics, ingest, marts, signals
+from pressgauge.plans import analyse, analytics, consensus, ingest, marts, signals
 from pressgauge.session import configure, scratch_dir
 from pressgauge.sinks import tables as sinks
 from pressgauge.sources import discovery, enrichment, feeds, responses, seeds, taxonomy
@@ -698,6 +698,16 @@ def migration_trail(s, d):
     return signals.migration_trail(sightings)
 
 
+@query
+def coordinated_text(s, d):
+    return consensus.coordinated_text(T.sightings(s, d))
+
+
+@query
+def semantic_consensus(s, d):
+    return consensus.semantic_consensus(T.voiced_vectors(s, d))
+
+
 # --- streaming ----------------------------------------------------------------------
 
 

@@ -189,3 +189,25 @@ def taxonomy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat("a", F.lit("\n# NAMES\n"), "b", F.lit("\n")).alias("body"),
         )
     )
+
+
+def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the hour they were seen, eighty an hour, each third one ten days later."""
+    hour = F.floor(F.col("doc_id") / 80).cast("int") + F.when(F.col("doc_id") % 3 == 0, 240).otherwise(0)
+    seen = F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(hours=hour)
+    return given(spark, sf_dir, "documents").select("doc_id", "text", "source", seen.alias("seen_at"))
+
+
+def voiced_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given vectors, and echoes of them by other voices: mixed with the next vector, more with every echo.
+
+    A third of the echoes are of one vector.
+    """
+    vectors = given(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
+    n = vectors.agg(F.count("*")).scalar()
+    echo = vectors.select((F.col("vec_id") + n).alias("vec_id"), (F.col("vec_id") % 7).cast("int").alias("label"), F.col("vec_id").alias("own"))
+    echo = echo.where("own % 4 > 0").withColumn("of", F.when(F.col("own") % 3 == 0, 0).otherwise(F.col("own") - F.col("own") % 4))
+    base = vectors.select(F.col("vec_id").alias("of"), F.col("embedding").alias("x"))
+    other = vectors.select(F.col("vec_id").alias("own"), F.col("embedding").alias("y"))
+    mixed = F.zip_with("x", F.transform("y", lambda v: v * (F.col("own") % 4) * F.lit(0.125)), lambda a, b: a + b)
+    return vectors.unionByName(echo.join(base, "of").join(other, "own").select("vec_id", "label", mixed.alias("embedding")))
