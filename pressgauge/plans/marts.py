@@ -61,6 +61,16 @@ def domain_partials(scans: DataFrame) -> DataFrame:
     )
 
 
+def add_domain_partials(partials: DataFrame) -> DataFrame:
+    """Partial sums of the domain mart added up per key, still partial."""
+    return partials.groupBy(*DOMAIN_KEYS).agg(
+        F.sum("spi_sum").alias("spi_sum"),
+        F.sum("scan_count").alias("scan_count"),
+        F.min("min_spi").alias("min_spi"),
+        F.max("max_spi").alias("max_spi"),
+    )
+
+
 def merge_domain_partials(partials: DataFrame) -> DataFrame:
     """The domain mart from partial sums; the same rows as from the scans themselves."""
     mean = F.sum("spi_sum") / F.sum("scan_count")
@@ -94,6 +104,35 @@ def tactic_frequency_weekly(tactics: DataFrame, scans: DataFrame, ordered: bool
     return mart
 
 
+TACTIC_KEYS = ("tactic_code", "tactic_label", "week", "region", "media_class", "taxonomy_version")
+
+
+def tactic_partials(pairs: DataFrame) -> DataFrame:
+    """Sums of the tactic mart that add up over batches of tactic rows joined with their scans."""
+    return (
+        in_scope(pairs)
+        .withColumn("week", week_of("scanned_at"))
+        .groupBy(*TACTIC_KEYS)
+        .agg(
+            F.count("*").alias("occurrences"),
+            F.count("spi_score").alias("scored"),
+            F.coalesce(F.sum(F.col("spi_score").cast("long")), F.lit(0).cast("long")).alias("spi_sum"),
+        )
+    )
+
+
+def add_tactic_partials(partials: DataFrame) -> DataFrame:
+    """Partial sums of the tactic mart added up per key, still partial."""
+    return partials.groupBy(*TACTIC_KEYS).agg(*(F.sum(c).alias(c) for c in ("occurrences", "scored", "spi_sum")))
+
+
+def merge_tactic_partials(partials: DataFrame) -> DataFrame:
+    """The tactic mart from partial sums; the same rows as from the scans and tactics themselves."""
+    sums = add_tactic_partials(partials)
+    mean = F.when(F.col("scored") > 0, F.round(F.col("spi_sum") / F.col("scored")).cast("int"))
+    return sums.withColumn("avg_spi_when_present", mean).drop("scored", "spi_sum")
+
+
 def daily_health(scans: DataFrame) -> DataFrame:
     """Scans, mean score and out-of-distribution scans per day and status."""
     return scans.groupBy(F.date_trunc("day", "scanned_at").alias("day"), "scan_status").agg(

@@ -6,8 +6,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressgauge.functions.values import week_of
-
 
 def append_candidates(candidates: DataFrame, path: str, run: str, day: str = "fetched_at") -> None:
     """Append one run's queue rows, partitioned by the day they were fetched.
@@ -41,20 +39,16 @@ def write_snapshot(snapshot: DataFrame, path: str, version: str) -> None:
 def refresh_mart(mart: DataFrame, path: str) -> None:
     """Replace the weeks present in ``mart`` and leave the others as they are.
 
-    The rebalance hint brings the rows of a week together, so each week is a
-    few files rather than one per task, and lets adaptive execution split a
-    week that is much larger than the others.
+    The rows of a week come together, so each week is one file, and as many tasks
+    as there are cores write weeks side by side; a mart is small, and adaptive
+    execution would leave all its weeks to one task.
     """
+    tasks = mart.sparkSession.sparkContext.defaultParallelism
     (
         mart.withColumn("week_start", F.to_date("week"))
-        .hint("rebalance", "week_start")
+        .repartition(tasks, "week_start")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("week_start")
         .parquet(path)
     )
-
-
-def affected_weeks(new_scans: DataFrame) -> DataFrame:
-    """Weeks a set of new scans touches."""
-    return new_scans.select(week_of("scanned_at").alias("week")).distinct()

@@ -1,95 +1,192 @@
-"""Candidate ingest, status log, scan sinks and incremental marts."""
+"""Candidate ingest, status machine, scan sinks and incremental marts."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pressgauge.functions.values import week_of
-from pressgauge.operators.dedup import ORDER, first_wins
-from pressgauge.operators.tactic_rows import flatten_tactics
-from pressgauge.plans.marts import benchmarkable, domain_partials, merge_domain_partials
-from pressgauge.sinks.tables import refresh_mart
+from pressgauge.operators.dedup import ORDER
+from pressgauge.plans import marts
+from pressgauge.plans.analyse import scans_from_responses, tactics_from_scans
 from pressgauge.sources.responses import parse_responses
-from pressgauge.streaming.common import batch_dir, earlier_batches, ensure_table, start
+from pressgauge.streaming.common import batch_dir, ensure_table, exists, first_sightings, start, stored_rows
+from pressgauge.streaming.partials import fold
 
 
 def stream_candidates(stream: DataFrame, path: str, checkpoint: str, order=ORDER) -> StreamingQuery:
     """Continuous ingest with one row per content hash for the life of the sink.
 
-    The first copy in a batch wins, then hashes of earlier batches are removed;
-    no operator state grows. The history is first cut down to the batch's own
-    hashes: a small batch is broadcast to the history's hash column, which then
-    is scanned but not shuffled, and a large one filters it before the shuffle.
+    The first copy in the first batch that has a text wins. Known hashes are keyed
+    state on disk, so a batch costs what the batch holds, however long the history
+    is. Candidates are narrow rows; bodies are stored by their hash elsewhere.
     """
-    schema = stream.schema
-    ensure_table(stream.sparkSession, schema, path)
+    schema, spark = stream.schema, stream.sparkSession
+    ensure_table(spark, schema, path)
+    new = first_sightings(stream, ["content_hash"], order, stored_rows(spark, schema, path), checkpoint)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        held = earlier_batches(batch.sparkSession, schema, path, batch_id).select("content_hash")
-        seen = held.join(batch.select("content_hash").distinct(), "content_hash", "left_semi")
-        first_wins(batch, ["content_hash"], order).join(seen, "content_hash", "left_anti").write.mode(
-            "overwrite"
-        ).parquet(batch_dir(path, batch_id))
+    def handle(batch: DataFrame, batch_id: int, query: str) -> None:
+        batch.write.mode("overwrite").parquet(batch_dir(path, query, batch_id))
 
-    return start(stream, handle, checkpoint)
+    return start(new, handle, checkpoint, mode="update")
 
 
-def stream_status(
-    events: DataFrame, queue: DataFrame, path: str, checkpoint: str
-) -> StreamingQuery:
-    """Append status events of items the queue knows to the event log.
+def stream_status(events: DataFrame, queue: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append given status events of items the queue knows to the event log.
 
     ``queue`` is a snapshot with one row per item. The inner join leaves Spark
     free to broadcast whichever side is small, which mostly is the batch.
     """
     known = queue.select("item_id")
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.join(known, "item_id").select(*batch.columns).write.mode("overwrite").parquet(
-            batch_dir(path, batch_id)
-        )
+    def handle(batch: DataFrame, batch_id: int, query: str) -> None:
+        batch.join(known, "item_id").select(*batch.columns).write.mode("overwrite").parquet(batch_dir(path, query, batch_id))
 
     return start(events, handle, checkpoint)
 
 
-def stream_scans(responses: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+TRANSITIONS = "content_hash string, step int, status string, error_message string, processed_at timestamp, rejected string"
+
+
+def status_machine(stuck_seconds: int) -> Callable:
+    """One item's life: pending, processing once claimed, then done or error; what breaks that order is rejected.
+
+    An item that stays in ``processing`` for ``stuck_seconds`` of event time goes
+    back to pending, so that it can be claimed again. A rejected signal moves nothing.
+    """
+
+    def step(key, signals, state):
+        import pandas as pd
+
+        status, steps, due = state.get if state.exists else ("pending", 0, 0)
+        out = []
+
+        def move(target, error, at):
+            nonlocal status, steps
+            status, steps = target, steps + 1
+            out.append((steps, status, error, at, None))
+
+        def give_up():
+            move("pending", "no response in time", pd.Timestamp(due, unit="ms"))
+
+        if state.hasTimedOut:
+            give_up()
+        else:
+            rows = [r for part in signals for r in zip(part["at"], part["kind"], part["error_message"], strict=True)]
+            for at, kind, error in sorted(rows, key=lambda r: (r[0], r[1])):  # a claim comes before a response of the same moment
+                if status == "processing" and at.timestamp() * 1000 > due:
+                    give_up()  # the timer would have gone off in between, whatever batch the signal came with
+                error = error if isinstance(error, str) else None
+                target = "processing" if kind == "claim" else "done" if error is None else "error"
+                if status == ("pending" if kind == "claim" else "processing"):
+                    move(target, error, at)
+                    due = int(at.timestamp() * 1000) + stuck_seconds * 1000
+                else:
+                    out.append((None, target, error, at, f"{kind} while {status}"))
+        state.update((status, steps, due))
+        if status == "processing":  # a call clears the timer
+            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        columns = ("step", "status", "error_message", "processed_at", "rejected")
+        yield pd.DataFrame({"content_hash": [key[0]] * len(out), **{c: pd.Series(v, dtype="datetime64[ns]" if c == "processed_at" else object) for c, v in zip(columns, zip(*out, strict=True), strict=True)}})
+
+    return step
+
+
+def stream_transitions(claims: DataFrame, responses: DataFrame, path: str, checkpoint: str, stuck_seconds: int = 3600, late: str = "10 minutes") -> StreamingQuery:
+    """The status log that analysing gives, derived from claims and responses as they arrive.
+
+    ``claims`` has content_hash and at; ``responses`` also has body. Transitions go
+    to ``path``/events, signals that no item in that state can receive to
+    ``path``/rejected. State is one small row per item; ``late`` bounds how far
+    behind the newest moment a signal may come.
+    """
+    good = parse_responses(responses).select("content_hash", "at", F.lit("response").alias("kind"), "error_message")
+    claimed = claims.select("content_hash", "at", F.lit("claim").alias("kind"), F.lit(None).cast("string").alias("error_message"))
+    signals = claimed.unionByName(good).withWatermark("at", late)
+    moved = signals.groupBy("content_hash").applyInPandasWithState(status_machine(stuck_seconds), TRANSITIONS, "status string, steps int, due long", "append", "EventTimeTimeout")
+
+    def handle(batch: DataFrame, batch_id: int, query: str) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)  # narrow rows; else the state would be stepped twice
+        try:
+            batch.where("rejected is null").drop("rejected").write.mode("overwrite").parquet(batch_dir(f"{path}/events", query, batch_id))
+            batch.where("rejected is not null").drop("step").write.mode("overwrite").parquet(batch_dir(f"{path}/rejected", query, batch_id))
+        finally:
+            batch.unpersist()
+
+    return start(moved, handle, checkpoint)
+
+
+def stream_scans(
+    responses: DataFrame, path: str, checkpoint: str, items: DataFrame | None = None, dimension: DataFrame | None = None, scanned_at: Column | None = None
+) -> StreamingQuery:
     """Two sinks from one stream: tactic rows first, then the scans they belong to.
 
-    Failed responses give no scan; ``analyse.status_events`` tells of them.
+    With ``items`` and ``dimension`` a scan has the item's, credibility and
+    provenance columns, as in a batch run; without, only what the response says.
+    Failed responses give no scan; ``stream_transitions`` tells of them. A scan that
+    a query of another checkpoint wrote already is not written again.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        good = parse_responses(batch).filter("error_message is null").drop("error_message")
-        parsed = good.persist(StorageLevel.MEMORY_AND_DISK)
+    def parsed(batch: DataFrame) -> DataFrame:
+        if items is None:
+            return parse_responses(batch).filter("error_message is null").drop("error_message")
+        return scans_from_responses(items, batch, dimension, scanned_at)
+
+    def handle(batch: DataFrame, batch_id: int, query: str) -> None:
+        spark, good = batch.sparkSession, parsed(batch)
+        if exists(spark, f"{path}/scans"):
+            elsewhere = spark.read.schema("content_hash string, query_id string, batch_id long").parquet(f"{path}/scans")
+            others = elsewhere.where(F.col("query_id") != query).select("content_hash")
+            good = good.join(others, "content_hash", "left_anti")
+        good = good.persist(StorageLevel.DISK_ONLY)
         try:
-            flatten_tactics(parsed).write.mode("overwrite").parquet(batch_dir(f"{path}/tactics", batch_id))
-            parsed.drop("tactics").write.mode("overwrite").parquet(batch_dir(f"{path}/scans", batch_id))
+            tactics_from_scans(good).write.mode("overwrite").parquet(batch_dir(f"{path}/tactics", query, batch_id))
+            good.drop("tactics").write.mode("overwrite").parquet(batch_dir(f"{path}/scans", query, batch_id))
         finally:
-            parsed.unpersist()
+            good.unpersist()
 
     return start(responses, handle, checkpoint)
 
 
-def stream_weekly(scans: DataFrame, store: str, mart: str, checkpoint: str) -> StreamingQuery:
-    """Keep the weekly domain mart current by merging partial sums of the weeks a batch touches.
+def stream_weekly(scans: DataFrame, store: str, mart: str, checkpoint: str, key: str = "scan_id") -> StreamingQuery:
+    """Keep the weekly domain mart current with every batch of scans.
 
-    The store holds one row per mart key and batch, by week, so scans are never
-    read again; the touched weeks are named in the filter, which prunes all others.
+    A scan counts once for the life of the store, whatever checkpoint reads it. The
+    store holds partial sums, one row per mart key, so scans are never read again.
     """
+    spark, counted = scans.sparkSession, f"{store}/counted"
+    ids = scans.select(key).schema
+    ensure_table(spark, ids, counted)
+    columns = [key, "scan_status", "in_distribution", "spi_score", "scanned_at", *(c for c in marts.DOMAIN_KEYS if c != "week")]
+    new = first_sightings(scans.select(*columns), [key], ["scanned_at"], stored_rows(spark, ids, counted), checkpoint)
+
+    def handle(batch: DataFrame, batch_id: int, query: str) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            fold(marts.domain_partials(batch), store, mart, query, batch_id, marts.add_domain_partials, marts.merge_domain_partials)
+            batch.select(key).write.mode("overwrite").parquet(batch_dir(counted, query, batch_id))
+        finally:
+            batch.unpersist()
+
+    return start(new, handle, checkpoint, mode="update")
+
+
+def stream_tactics(scans: DataFrame, tactics: DataFrame, store: str, mart: str, checkpoint: str, late: str = "1 day") -> StreamingQuery:
+    """Keep the weekly tactic mart current: tactic rows meet their scans in event time.
+
+    ``scans`` has scanned_at, ``tactics`` has detected_at; both may arrive in any
+    order within ``late`` of each other, and the join's state is dropped behind the
+    watermark. ``mart`` takes the weeks a batch touches.
+    """
+    facts = scans.select("scan_id", "scan_status", "in_distribution", "spi_score", "region", "media_class", "scanned_at").withWatermark("scanned_at", late)
+    rows = tactics.select(F.col("scan_id").alias("of_scan"), "tactic_code", "tactic_label", "taxonomy_version", "detected_at").withWatermark("detected_at", late)
+    span = F.expr(f"interval {late}")
+    meets = (F.col("of_scan") == F.col("scan_id")) & (F.col("detected_at") >= F.col("scanned_at") - span) & (F.col("detected_at") <= F.col("scanned_at") + span)
+
+    def handle(batch: DataFrame, batch_id: int, query: str) -> None:
+        fold(marts.tactic_partials(batch), store, mart, query, batch_id, marts.add_tactic_partials, marts.merge_tactic_partials)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        partial = domain_partials(batch).withColumns({"week_start": F.to_date("week"), "batch_id": F.lit(batch_id)})
-        partial.hint("rebalance", "week_start").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "week_start", "batch_id"
-        ).parquet(store)
-        weeks = benchmarkable(batch).select(F.to_date(week_of("scanned_at")).alias("w")).distinct()
-        touched = [r["w"] for r in weeks.collect()]  # bounded by the calendar
-        if touched:
-            full = spark.read.schema(partial.schema).parquet(store)
-            refresh_mart(merge_domain_partials(full.filter(F.col("week_start").isin(touched))), mart)
-
-    return start(scans, handle, checkpoint)
+    return start(marts.in_scope(facts).join(rows, meets), handle, checkpoint)

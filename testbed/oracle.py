@@ -79,6 +79,9 @@ DEDUP = f"""select domain, mbfc_bias, mbfc_factuality, mbfc_country, mbfc_credib
 UPSERT = f"""select * from ({DEDUP}) a union all
   select * from fx_old_dimension where domain not in (select domain from ({DEDUP}) b)"""
 
+WHY = """case when not broken then null when fault = 0 then 'response is not JSON' when fault = 1 then 'response is null'
+   else 'spi_score is not an integer' end"""
+
 FIRST = """select * from (select *, row_number() over (partition by content_hash
   order by fetched_at, phase, feed_ordinal, item_pos) as rn from fx_candidates) q where rn = 1"""
 KNOWN = """select content_hash, case when min(r) = 1 then 'queued' else 'scanned' end as reason from (
@@ -169,6 +172,30 @@ SCOPED_TACTICS = f"""select t.*, s.region, s.media_class, s.publisher_name, s.sc
 STATUS = """select item_id, max_by(status, seq) as status, max_by(processed_at, seq) as processed_at,
   arg_max_null(error_message, seq) as error_message, max(seq) as seq from {0} group by item_id"""
 
+TACTIC_WEEKLY = f"""select tactic_code, tactic_label, date_trunc('week', scanned_at) as week, region, media_class,
+        taxonomy_version, count(*) as occurrences, {AVG.format('spi_score')} as avg_spi_when_present
+        from ({SCOPED_TACTICS}) t group by 1, 2, 3, 4, 5, 6"""
+EVENTS = f"""select content_hash, 1 as step, 'processing' as status, cast(null as varchar) as error_message from fx_response_parts
+        union all select content_hash, 2, case when broken then 'error' else 'done' end,
+          {WHY} from fx_response_parts"""
+SCANS_OUT = f"""select f.content_hash, f.content_hash as scan_id, f.source_type, f.publisher_name,
+        f.article_domain as publisher_domain, case f.source_type when 'facebook_ad' then 'facebook.com' else f.article_domain end as article_domain,
+        'v1.0' as taxonomy_version,
+        case f.source_type when 'facebook_ad' then f.publisher_name end as advertiser_name,
+        case f.source_type when 'facebook_ad' then 'term' end as search_term,
+        case f.source_type when 'facebook_ad' then 'US' end as ad_country,
+        p.spi_score, p.the_play, p.emotional_targets, p.blind_spots, p.the_verdict,
+        d.mbfc_bias, d.mbfc_factuality, d.mbfc_credibility,
+        case f.source_type when 'facebook_ad' then 'facebook_ad_scraper' else 'crawler' end as scan_source,
+        f.source_type = 'gdelt_article' as gdelt_source,
+        case f.source_type when 'facebook_ad' then 'copy_only' end as analysis_scope,
+        'success' as scan_status, cast(null as double) as gdelt_tone, cast(v.n as int) as n_vector,
+        f.source_type as media_class, 'US' as region, 'US' as country, true as in_distribution,
+        f.fetched_at + interval 1 hour as scanned_at
+        from ({FIRST}) f join fx_response_parts p on p.content_hash = f.content_hash
+        left join {DIM} d on d.domain = f.article_domain
+        left join ({VECTOR}) v on v.content_hash = f.content_hash where not p.broken"""
+
 SQL: dict[str, str] = {
     "feed_items": f"""select f.feed_url, i.fetched_at, i.pos, i.title, i.url, {FEED_RAW} as published_raw,
         case when i.dialect < 2 then i.published_at end as published_at
@@ -184,10 +211,10 @@ SQL: dict[str, str] = {
     "enrichment_raw": RECORDS,
     "enrichment_norm": NORM,
     "enrichment_dedup": DEDUP,
-    "response_fields": """select p.content_hash, p.taxonomy_version, p.spi_score, p.the_play, p.emotional_targets,
+    "response_fields": f"""select p.content_hash, p.taxonomy_version, p.spi_score, p.the_play, p.emotional_targets,
         p.blind_spots, p.the_verdict,
         case when p.broken or p.shape in ('missing', 'scalar') then null else coalesce(cast(t.n as int), 0) end as n_tactics,
-        case when p.broken then 'response is not JSON' end as error_message
+        {WHY} as error_message
         from fx_response_parts p left join (select content_hash, count(*) as n from fx_response_tactics group by 1) t
           on t.content_hash = p.content_hash""",
     "search_term_grid": """select t.term_ordinal, t.term, t.category, t.country_ordinal, t.country, count(n.node_pos) as nodes
@@ -298,23 +325,8 @@ SQL: dict[str, str] = {
         from ({TACTIC_ROWS}) t""",
     "code_mismatch": f"""select count(*) as tactics,
         count(*) filter ({VECTOR_CODE} is distinct from o_code) as mismatches from fx_tactic_objects""",
-    "scans_out": f"""select f.content_hash, f.content_hash as scan_id, f.source_type, f.publisher_name,
-        f.article_domain as publisher_domain, case f.source_type when 'facebook_ad' then 'facebook.com' else f.article_domain end as article_domain,
-        'v1.0' as taxonomy_version,
-        case f.source_type when 'facebook_ad' then f.publisher_name end as advertiser_name,
-        case f.source_type when 'facebook_ad' then 'term' end as search_term,
-        case f.source_type when 'facebook_ad' then 'US' end as ad_country,
-        p.spi_score, p.the_play, p.emotional_targets, p.blind_spots, p.the_verdict,
-        d.mbfc_bias, d.mbfc_factuality, d.mbfc_credibility,
-        case f.source_type when 'facebook_ad' then 'facebook_ad_scraper' else 'crawler' end as scan_source,
-        f.source_type = 'gdelt_article' as gdelt_source,
-        case f.source_type when 'facebook_ad' then 'copy_only' end as analysis_scope,
-        'success' as scan_status, cast(null as double) as gdelt_tone, cast(v.n as int) as n_vector,
-        f.source_type as media_class, 'US' as region, 'US' as country, true as in_distribution,
-        f.fetched_at + interval 1 hour as scanned_at
-        from ({FIRST}) f join fx_response_parts p on p.content_hash = f.content_hash
-        left join {DIM} d on d.domain = f.article_domain
-        left join ({VECTOR}) v on v.content_hash = f.content_hash where not p.broken""",
+    "scans_out": SCANS_OUT,
+    "stream_scan_rows": SCANS_OUT,
     "tactics_out": f"select * replace ('v1.0' as taxonomy_version) from ({ROWS_V2}) t",
     "canonical_scans": """select content_hash, null as article_url, article_domain, publisher_domain, null as headline_text,
           null as published_at, null as content_length, analyzer_version, taxonomy_version, prompt_version from fx_scans
@@ -325,9 +337,8 @@ SQL: dict[str, str] = {
         {AVG.format('p.spi_score')} as avg_spi, count(*) as scan_count, min(p.spi_score) as min_spi, max(p.spi_score) as max_spi
         from ({FIRST}) f join fx_response_parts p on p.content_hash = f.content_hash
         where not p.broken and p.spi_score is not null group by 1, 2, 3, 6""",
-    "analysis_events": """select content_hash, 1 as step, 'processing' as status, cast(null as varchar) as error_message from fx_response_parts
-        union all select content_hash, 2, case when broken then 'error' else 'done' end,
-          case when broken then 'response is not JSON' end from fx_response_parts""",
+    "analysis_events": EVENTS,
+    "stream_transitions": EVENTS,
     "domain_weekly_canonical": f"""({DOMAIN_WEEKLY}) union all
         select article_domain, publisher_name, media_class, region, country, date_trunc('week', scanned_at), '1.0',
           {AVG.format('spi_score')}, count(*), min(spi_score), max(spi_score)
@@ -335,9 +346,9 @@ SQL: dict[str, str] = {
     "domain_integrity_weekly": DOMAIN_WEEKLY,
     "mart_refresh": DOMAIN_WEEKLY,
     "stream_weekly": DOMAIN_WEEKLY,
-    "tactic_frequency_weekly": f"""select tactic_code, tactic_label, date_trunc('week', scanned_at) as week, region, media_class,
-        taxonomy_version, count(*) as occurrences, {AVG.format('spi_score')} as avg_spi_when_present
-        from ({SCOPED_TACTICS}) t group by 1, 2, 3, 4, 5, 6""",
+    "tactic_frequency_weekly": TACTIC_WEEKLY,
+    "tactic_mart_refresh": TACTIC_WEEKLY,
+    "stream_tactics_weekly": TACTIC_WEEKLY,
     "daily_health": f"""select date_trunc('day', scanned_at) as day, scan_status, count(*) as scans,
         {AVG.format('spi_score')} as avg_spi, count(*) filter (in_distribution = false) as out_of_dist
         from fx_scans group by 1, 2""",

@@ -438,8 +438,8 @@ def code_mismatch(s, d):
     return quality.code_mismatch(_parsed(s, d))
 
 
-def _analysed(s, d):
-    items = dedup.first_wins(fx(s, d, "candidates"), ["content_hash"], dedup.ORDER).select(
+def _items(s, d):
+    return dedup.first_wins(fx(s, d, "candidates"), ["content_hash"], dedup.ORDER).select(
         "content_hash",
         "source_type",
         "publisher_name",
@@ -455,6 +455,10 @@ def _analysed(s, d):
         F.lit(True).alias("in_distribution"),
         (F.col("fetched_at") + F.expr("interval 1 hour")).alias("answered_at"),
     )
+
+
+def _analysed(s, d):
+    items = _items(s, d)
     scans = analyse.scans_from_responses(
         items, T.responses(s, d).drop("taxonomy_version"), _dimension(s, d), F.col("answered_at")
     )
@@ -711,10 +715,21 @@ def semantic_consensus(s, d):
 # --- streaming ----------------------------------------------------------------------
 
 
-def _stream_copy(s: SparkSession, df: DataFrame, label: str, files: int, by: str) -> DataFrame:
-    """Land ``df`` as files in ingest order and read them back as a stream, one file per batch."""
+def _stream_copy(s: SparkSession, df: DataFrame, label: str, files: int, by: str, in_turn: bool = False) -> DataFrame:
+    """Land ``df`` as files by ranges of ``by`` and read them back as a stream, one file per batch.
+
+    ``in_turn`` lands one after the other, so the stream also reads them in that order.
+    """
     path = scratch_dir(s, f"{label}-in")
-    df.repartitionByRange(files, by).sortWithinPartitions(by).write.parquet(path)
+    dealt = df.repartitionByRange(files, by)
+    if in_turn:
+        ranges = scratch_dir(s, f"{label}-ranges")
+        dealt.withColumn("range", F.spark_partition_id()).write.partitionBy("range").parquet(ranges)
+        for number in range(files):
+            part = s.read.schema(df.schema).parquet(f"{ranges}/range={number}")
+            part.coalesce(1).sortWithinPartitions(by).write.mode("append").parquet(path)
+    else:
+        dealt.sortWithinPartitions(by).write.parquet(path)
     return s.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
@@ -736,6 +751,18 @@ def stream_status(s, d):
     return queue.latest_status(s.read.parquet(out))
 
 
+@query
+def stream_transitions(s, d):
+    """Claims and responses a minute apart, every batch with its own stretch of time."""
+    out = scratch_dir(s, "transitions")
+    moment = F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(mins=F.col("doc_id").cast("int") * 2)
+    timed = T.responses(s, d).join(fx(s, d, "texts").select("content_hash", "doc_id"), "content_hash")
+    claims = _stream_copy(s, timed.select("content_hash", moment.alias("at")), "claims", 2, "at", True)
+    answers = _stream_copy(s, timed.select("content_hash", (moment + F.expr("interval 1 minute")).alias("at"), "body"), "answers", 2, "at", True)
+    jobs.stream_transitions(claims, answers, out, scratch_dir(s, "ck")).awaitTermination()
+    return s.read.parquet(f"{out}/events").select("content_hash", "step", "status", "error_message")
+
+
 @query
 def stream_scans(s, d):
     out = scratch_dir(s, "stream-scans")
@@ -750,6 +777,16 @@ def stream_scans(s, d):
     )
 
 
+@query
+def stream_scan_rows(s, d):
+    """Streamed scans with every column a batch run writes."""
+    out = scratch_dir(s, "stream-scans")
+    stream = _stream_copy(s, T.responses(s, d).drop("taxonomy_version"), "responses", 2, "content_hash")
+    jobs.stream_scans(stream, out, scratch_dir(s, "ck"), _items(s, d), _dimension(s, d), F.col("answered_at")).awaitTermination()
+    scans = s.read.parquet(f"{out}/scans")
+    return scans.withColumn("n_vector", F.size("tactic_vector")).drop("answered_at", "query_id", "batch_id", "raw_output", "tactic_vector")
+
+
 @query
 def stream_weekly(s, d):
     mart = scratch_dir(s, "stream-mart")
@@ -759,4 +796,25 @@ def stream_weekly(s, d):
     return s.read.parquet(mart).drop("week_start")
 
 
+@query
+def stream_tactics_weekly(s, d):
+    mart = scratch_dir(s, "stream-mart")
+    scans, tactics = fx(s, d, "scans", "tactics")
+    seen = tactics.join(scans.select("scan_id", F.col("scanned_at").alias("detected_at")), "scan_id")
+    facts, rows = _stream_copy(s, scans, "scans", 3, "scanned_at", True), _stream_copy(s, seen, "tactics", 3, "detected_at", True)
+    jobs.stream_tactics(facts, rows, scratch_dir(s, "store"), mart, scratch_dir(s, "ck")).awaitTermination()
+    return s.read.parquet(mart).drop("week_start")
+
+
+@query
+def tactic_mart_refresh(s, d):
+    """The tactic mart, refreshed as a whole and then for its first half again."""
+    path = scratch_dir(s, "tactic-mart")
+    tactics, scans = fx(s, d, "tactics", "scans")
+    mart = marts.tactic_frequency_weekly(tactics, scans)
+    sinks.refresh_mart(mart, path)
+    sinks.refresh_mart(mart.where("week < timestamp '2024-08-01'"), path)
+    return s.read.parquet(path).drop("week_start")
+
+
 REGISTRY["tactic_rows"] = REGISTRY.pop("tactic_rows_")

@@ -138,7 +138,7 @@ TABLES: dict[str, str] = {
     "fx_response_parts": """
         select content_hash, doc_id,
           case when doc_id % 2 = 0 then 'v1.0' else '1.0' end as taxonomy_version,
-          doc_id % 31 = 0 as broken,
+          doc_id % 31 = 0 as broken, case when doc_id % 31 = 0 then cast(floor(doc_id / 31) as bigint) % 5 end as fault,
           case when doc_id % 31 = 0 or doc_id % 13 = 0 then null
                else cast((doc_id * 37 + n_chars) % 101 as int) end as spi_score,
           case when doc_id % 31 = 0 or doc_id % 5 = 0 then null

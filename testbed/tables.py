@@ -135,6 +135,10 @@ def corpus_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Bodies that give no scan: no JSON, null, and scores that no integer column holds.
+FAULTY = ("upstream error", "null", '{"spi_score":1e12}', '{"spi_score":"abc"}', '{"spi_score":1.5}')
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed model responses: JSON bodies with every shape of ``tactics``."""
     objects = derived(spark, sf_dir, "fx_tactic_objects")
@@ -152,7 +156,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = F.to_json(
         F.struct(F.lit("r").alias("kind"), "spi_score", "the_play", "emotional_targets", "blind_spots", "the_verdict")
     )
-    body = F.when(F.col("broken"), F.lit("upstream error")).otherwise(
+    body = F.when(F.col("broken"), F.get(F.array(*map(F.lit, FAULTY)), F.col("fault"))).otherwise(
         F.concat(F.regexp_replace(head, r"\}$", ""), tactics)
     )
     return parts.select("content_hash", "taxonomy_version", body.alias("body"))

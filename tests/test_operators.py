@@ -454,3 +454,17 @@ def test_queue_sink_is_repeatable(spark, tmp_path):
     for run in ("1", "1", "2"):
         sinks.append_candidates(rows, str(tmp_path), run)
     assert spark.read.parquet(str(tmp_path)).count() == 2
+
+
+def test_scores_that_no_integer_column_holds_end_as_one_error(spark):
+    bodies = {
+        "big": '{"spi_score": 1e12}', "word": '{"spi_score": "abc"}', "null": "null", "none": '{"spi_score": null}', "truth": '{"spi_score": true}',
+        "list": '{"spi_score": [1]}', "object": '{"spi_score": {}}', "blank": '{"spi_score": ""}', "edge": '{"spi_score": 2147483647}', "past": '{"spi_score": 2147483648}',
+        "low": '{"spi_score": -3}', "round": '{"spi_score": 7.0}', "bare": '"text"',
+    }
+    rows = spark.createDataFrame(list(bodies.items()), "content_hash string, body string")
+    got = {r.content_hash: (r.spi_score, r.error_message) for r in parse_responses(rows).collect()}
+    unfit, fine = "spi_score is not an integer", {"none": None, "edge": 2147483647, "low": -3, "round": 7, "bare": None}
+    assert got == {**{k: (None, unfit) for k in ("big", "word", "truth", "list", "object", "blank", "past")}, "null": (None, "response is null"), **{k: (v, None) for k, v in fine.items()}}
+    events = analyse.status_events(rows).where("step = 2").collect()
+    assert {r.content_hash for r in events if r.status == "error"} == set(bodies) - set(fine)

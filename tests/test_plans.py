@@ -10,7 +10,8 @@ from pressgauge.plans import ingest, marts
 from pressgauge.session import scratch_dir
 from testbed.queries import REGISTRY
 
-EAGER = {"queue_candidates", "scans_out", "tactics_out", "analysed_weekly", "mart_refresh", "stream_dedup", "stream_status", "stream_scans", "stream_weekly"}
+EAGER = {"queue_candidates", "scans_out", "tactics_out", "analysed_weekly", "mart_refresh", "stream_dedup", "stream_status", "stream_scans", "stream_weekly", "stream_transitions",
+         "stream_scan_rows", "stream_tactics_weekly", "tactic_mart_refresh", "coordinated_text", "semantic_consensus"}
 
 
 def plan_of(df) -> str:
