@@ -26,16 +26,32 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return top_k(df, keys, order, 1)
 
 
-def known_hashes(queued: DataFrame | None, scanned: DataFrame) -> DataFrame:
-    """Hashes already held, once each, with the reason that takes precedence."""
-    held = scanned.select("content_hash", F.lit(2).alias("rank"))
+def with_reason(rows: DataFrame, queued: DataFrame | None, scanned: DataFrame) -> DataFrame:
+    """Adds ``reason``: why a row's content is already held (queued comes before scanned), NULL if it is not.
+
+    Histories are only asked whether they hold a hash, so they are neither
+    aggregated nor need they be unique. For rows that are few per hash; hot
+    hashes are better served by ``suppress_known``.
+    """
+
+    def held(history: DataFrame) -> Column:
+        # the row's hash goes by another name, or it would be taken from the history itself
+        return history.select("content_hash").where(F.col("content_hash") == F.col("_row_hash").outer()).exists()
+
+    known = rows.withColumn("_row_hash", F.col("content_hash")).withColumn("_scanned", held(scanned))
+    reason = F.when(F.col("_scanned"), "scanned")
     if queued is not None:
-        held = queued.select("content_hash", F.lit(1).alias("rank")).unionByName(held)
-    return (
-        held.groupBy("content_hash")
-        .agg(F.min("rank").alias("rank"))
-        .select("content_hash", F.when(F.col("rank") == 1, "queued").otherwise("scanned").alias("reason"))
-    )
+        known = known.withColumn("_queued", held(queued))
+        reason = F.when(F.col("_queued"), "queued").otherwise(reason)
+    return known.withColumn("reason", reason).drop("_scanned", "_queued", "_row_hash")
+
+
+def not_held(rows: DataFrame, *histories: DataFrame | None) -> DataFrame:
+    """Rows whose content none of the histories holds."""
+    for history in histories:
+        if history is not None:
+            rows = rows.join(history.select("content_hash"), "content_hash", "left_anti")
+    return rows
 
 
 def suppress_known(
@@ -43,12 +59,15 @@ def suppress_known(
 ) -> tuple[DataFrame, DataFrame]:
     """Split candidates into new ones and skipped ones with a ``reason``.
 
-    The known side has one row per hash and candidates are the streamed side,
-    so a hot hash is a one-sided skew that adaptive execution splits.
+    Only semi- and anti-joins: a history is read for its hashes, is not aggregated,
+    and, if it was written by ``append_history``, is not shuffled either. Candidates
+    are the streamed side, so a hot hash is a skew that adaptive execution splits.
     """
-    known = known_hashes(queued, scanned)
-    new = candidates.join(known, "content_hash", "left_anti")
-    skipped = candidates.join(known, "content_hash", "inner")
+    new = not_held(candidates, queued, scanned)
+    skipped = not_held(candidates, queued).join(scanned.select("content_hash"), "content_hash", "left_semi").withColumn("reason", F.lit("scanned"))
+    if queued is not None:
+        in_queue = candidates.join(queued.select("content_hash"), "content_hash", "left_semi").withColumn("reason", F.lit("queued"))
+        skipped = in_queue.unionByName(skipped)
     return new, skipped
 
 
@@ -67,9 +86,7 @@ def run_outcomes(candidates: DataFrame, queued: DataFrame, scanned: DataFrame) -
     )
     # at most one row per source type and hash is left, so this window stays tiny
     earliest = F.min("first_seen").over(Window.partitionBy("content_hash"))
-    judged = per_type.withColumn("earliest", earliest).join(
-        known_hashes(queued, scanned), "content_hash", "left"
-    )
+    judged = with_reason(per_type.withColumn("earliest", earliest), queued, scanned)
     is_first = (
         F.col("content_hash").isNotNull() & F.col("reason").isNull() & (F.col("first_seen") == F.col("earliest"))
     )

@@ -17,7 +17,7 @@ from pressgauge.functions.text import (
 )
 from pressgauge.functions.values import first_truthy, with_computed
 from pressgauge.operators.content import all_candidates, min_length
-from pressgauge.operators.dedup import ORDER, first_wins, known_hashes, run_outcomes
+from pressgauge.operators.dedup import ORDER, first_wins, not_held, run_outcomes
 
 
 def with_page_text(items: DataFrame, pages: DataFrame, max_chars: int | None = C.CONTENT_MAX_CHARS) -> DataFrame:
@@ -126,4 +126,4 @@ def new_queue_rows(candidates: DataFrame, queued: DataFrame, scanned: DataFrame)
     with the known hashes, so both joins see one row per hash.
     """
     fresh = first_wins(candidates, ["content_hash"], ORDER)
-    return fresh.join(known_hashes(queued, scanned).select("content_hash"), "content_hash", "left_anti")
+    return not_held(fresh, queued, scanned)

@@ -52,3 +52,21 @@ def refresh_mart(mart: DataFrame, path: str) -> None:
         .partitionBy("week_start")
         .parquet(path)
     )
+
+
+def append_history(hashes: DataFrame, table: str, path: str, buckets: int) -> None:
+    """Append held content hashes to a table laid out in sorted buckets of the hash.
+
+    A join on the hash then reads a history of any length in place: neither a
+    shuffle nor an aggregate stands between its files and the join. Choose as many
+    buckets as the cluster has shuffle partitions.
+    """
+    (
+        hashes.select("content_hash")
+        .repartition(buckets, "content_hash")
+        .write.bucketBy(buckets, "content_hash")
+        .sortBy("content_hash")
+        .option("path", path)
+        .mode("append")
+        .saveAsTable(table)
+    )
