@@ -172,6 +172,22 @@ SCOPED_TACTICS = f"""select t.*, s.region, s.media_class, s.publisher_name, s.sc
 STATUS = """select item_id, max_by(status, seq) as status, max_by(processed_at, seq) as processed_at,
   arg_max_null(error_message, seq) as error_message, max(seq) as seq from {0} group by item_id"""
 
+STORIES = """t as (select text, min(doc_id) as id from documents group by text),
+        w as (select id, string_split_regex(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ') as w from t where trim(text) <> ''),
+        g as (select distinct id, unnest(case when len(w) < 5 then [array_to_string(w, ' ')]
+            else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as gram from w),
+        n as (select id, count(*) as n from g group by id),
+        c as (select a.id as a, b.id as b, count(*) as c from g a join g b on a.gram = b.gram and a.id <> b.id group by all),
+        l as (select a, b from c join n x on x.id = a join n y on y.id = b where c >= (x.n + y.n - c) * 0.8::double),
+        r(id, other) as (select id, id from t union select r.id, l.b from r join l on l.a = r.other),
+        p as (select id, min(other) as cluster_id from r group by id),"""
+LINKS = f"""select distinct source, target from (
+  select {host('url')} as source, {host('link')} as target from (
+    select url, unnest(regexp_extract_all(html, 'href=["''](https?://[^"''\\s>]+)', 1)) as link from fx_linked_pages) l) x
+  where source <> target"""
+RINGS = f"""e as ({LINKS}),
+  r(a, b) as (select source, target from e union select r.a, e.target from r join e on e.source = r.b),
+  g as (select x.a as domain, least(x.a, min(x.b)) as ring from r x join r y on x.a = y.b and x.b = y.a group by x.a)"""
 TACTIC_WEEKLY = f"""select tactic_code, tactic_label, date_trunc('week', scanned_at) as week, region, media_class,
         taxonomy_version, count(*) as occurrences, {AVG.format('spi_score')} as avg_spi_when_present
         from ({SCOPED_TACTICS}) t group by 1, 2, 3, 4, 5, 6"""
@@ -474,15 +490,27 @@ SQL: dict[str, str] = {
           from {documents})
         select doc_id, cast(len(h) as int) as headline_words,
           case when len(h) > 0 then round(len(list_intersect(h, b)) / len(h), 6) end as overlap from t""",
-    "coordinated_text": """with recursive t as (select text, min(doc_id) as id from documents group by text),
-        w as (select id, string_split_regex(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ') as w from t where trim(text) <> ''),
-        g as (select distinct id, unnest(case when len(w) < 5 then [array_to_string(w, ' ')]
-            else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as gram from w),
-        n as (select id, count(*) as n from g group by id),
-        c as (select a.id as a, b.id as b, count(*) as c from g a join g b on a.gram = b.gram and a.id <> b.id group by all),
-        l as (select a, b from c join n x on x.id = a join n y on y.id = b where c >= (x.n + y.n - c) * 0.8::double),
-        r(id, other) as (select id, id from t union select r.id, l.b from r join l on l.a = r.other),
-        p as (select id, min(other) as cluster_id from r group by id),
+    "citation_rings": f"""with recursive {RINGS}
+        select domain, ring, count(*) over (partition by ring) as ring_size from g""",
+    "credibility_steps": f"""with recursive {RINGS},
+        t as (select domain, mbfc_credibility as tier, list_position(['DISPUTED', 'LOW', 'MIXED', 'HIGH'], mbfc_credibility) as rank from {DIM} where mbfc_credibility is not null)
+        select e.source, e.target, a.tier as source_tier, b.tier as target_tier, cast(a.rank - b.rank as int) as step,
+          case when x.ring = y.ring then x.ring end as ring
+        from e join t a on a.domain = e.source join t b on b.domain = e.target left join g x on x.domain = e.source left join g y on y.domain = e.target
+        where a.tier <> b.tier""",
+    "cue_rates": """with q as (select pattern_id, unnest(regexp_extract_all(regexp_replace(description, '[“”]', '"', 'g'), '"([^"]+)"', 1)) as phrase from fx_quoting_patterns),
+        c as (select distinct pattern_id, regexp_extract_all(lower(phrase), '[\\p{L}\\p{N}'']+') as c from q),
+        d as (select doc_id, regexp_extract_all(regexp_replace(lower(text), '[’]', '''', 'g'), '[\\p{L}\\p{N}'']+') as w from documents),
+        p as (select doc_id, w, unnest(range(1, len(w) + 1)) as i from d),
+        h as (select doc_id, pattern_id, count(*) as hits from p join c on p.w[p.i] = c.c[1] and p.w[p.i:p.i + len(c.c) - 1] = c.c where len(c.c) > 0 group by all)
+        select doc_id, pattern_id, hits, round(hits * 1000 / len(w), 6) as per_1000 from h join d using (doc_id)""",
+    "migration_by_cluster": f"""with recursive {STORIES}
+        f as (select p.cluster_id, d.source as media_class, min(cast('2024-01-01 00:00:00' as timestamp)
+              + to_hours(cast(floor(doc_id / 80) as int) + case when doc_id % 3 = 0 then 240 else 0 end)) as first_seen
+            from documents d join t using (text) join p using (id) group by 1, 2)
+        select cluster_id, media_class, first_seen, cast(row_number() over (partition by cluster_id order by first_seen, media_class) as int) as step
+        from f qualify count(*) over (partition by cluster_id) > 1""",
+    "coordinated_text": f"""with recursive {STORIES}
         s as (select p.cluster_id, d.source, cast('2024-01-01 00:00:00' as timestamp)
               + to_hours(cast(floor(doc_id / 80) as int) + case when doc_id % 3 = 0 then 240 else 0 end) as ts
             from documents d join t using (text) join p using (id)),

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pressgauge import constants as C
 from pressgauge.functions import dates, labels, tactics as tx, text, urls, values
 from pressgauge.operators import ads, content, dedup, enrich, quality, queue, tactic_rows
-from pressgauge.plans import analyse, analytics, consensus, ingest, marts, signals
+from pressgauge.operators.graph import written
+from pressgauge.plans import analyse, analytics, citation, consensus, cues, ingest, marts, signals
 from pressgauge.session import configure, scratch_dir
 from pressgauge.sinks import tables as sinks
 from pressgauge.sources import discovery, enrichment, feeds, responses, seeds, taxonomy
@@ -712,6 +713,36 @@ def semantic_consensus(s, d):
     return consensus.semantic_consensus(T.voiced_vectors(s, d))
 
 
+def _cited(s, d):
+    return written(signals.link_edges(fx(s, d, "linked_pages")), "edges")
+
+
+@query
+def citation_rings(s, d):
+    return citation.citation_rings(_cited(s, d))
+
+
+@query
+def credibility_steps(s, d):
+    edges = _cited(s, d)
+    return citation.credibility_steps(edges, _dimension(s, d), citation.citation_rings(edges))
+
+
+@query
+def cue_rates(s, d):
+    return cues.cue_rates(T.given(s, d, "documents"), cues.cue_lexicon(fx(s, d, "quoting_patterns")))
+
+
+@query
+def migration_by_cluster(s, d):
+    """Which source had a story first, near-identical texts being one story."""
+    seen = T.sightings(s, d)
+    clusters = consensus.text_clusters(seen)
+    placed = seen.withColumn("text_hash", F.sha2("text", 256)).join(clusters, "text_hash")
+    sightings = placed.select("cluster_id", F.col("source").alias("media_class"), F.col("seen_at").alias("scanned_at"))
+    return signals.migration_trail(sightings, "cluster_id")
+
+
 # --- streaming ----------------------------------------------------------------------
 
 

@@ -203,6 +203,11 @@ TABLES: dict[str, str] = {
     "fx_linked_pages": """
         select a.page_id, a.url, concat('<a href="', b.url, '">x</a> ', a.html) as html
         from {pages} a join {pages} b on b.page_id = case when a.page_id % 3 = 0 then a.page_id + 1 else a.page_id - 1 end""",
+    # patterns that quote phrases of the benchmark passages, which some documents repeat
+    "fx_quoting_patterns": """
+        select concat('Q', cast(item_id % 9 as string)) as pattern_id, item_id,
+          concat('Detection: "', {FIRST_WORDS:2}, '", "', {FIRST_WORDS:4}, '." or “', {FIRST_WORDS:7}, '”; also "', {FIRST_WORDS:1}, '".') as description
+        from {benchmark}""",
     # URLs of the given pages in the forms feeds and records hold them
     "fx_urls": """
         select page_id, case page_id % 7 when 0 then url when 1 then upper(url)
@@ -287,6 +292,11 @@ TABLES: dict[str, str] = {
         from {part}""",
 }
 
+# the first n words of a text, in SQL both engines read alike
+TABLES["fx_quoting_patterns"] = re.sub(
+    r"\{FIRST_WORDS:(\d)\}", lambda m: "regexp_extract(text, '^" + "[^ ]+ ?" * int(m[1]) + "', 0)", TABLES["fx_quoting_patterns"]
+)
+
 _NAME = re.compile(r"\bfx_\w+")
 
 
@@ -303,6 +313,8 @@ def with_clause(sql: str) -> str:
         return sql
     parts = ",\n".join(f"{name} as ({TABLES[name]})" for name in TABLES if name in needed)
     body = sql.strip()
+    if body[:15].lower() == "with recursive ":
+        return f"with recursive {parts},\n{body[15:]}"
     if body[:5].lower() == "with ":
         return f"with {parts},\n{body[5:]}"
     return f"with {parts}\n{body}"
