@@ -490,6 +490,13 @@ SQL: dict[str, str] = {
           from {documents})
         select doc_id, cast(len(h) as int) as headline_words,
           case when len(h) > 0 then round(len(list_intersect(h, b)) / len(h), 6) end as overlap from t""",
+    "run_counters": f"""with f as (select ordinal, run_no, run_no % 7 = 3 as bad, count(*) as n from fx_feed_items group by all),
+        l as (select theme_ordinal, fetched_at, cast(floor(epoch(fetched_at) - 1704067200) / 3600 as bigint) % 5 = 1 as bad, count(*) as n from fx_discovery group by all)
+        select 'feeds' as part, unnest(['payloads', 'errors', 'found']) as counter,
+          unnest([count(*), count(*) filter (bad), cast(coalesce(sum(n) filter (not bad), 0) as bigint)]) as value from f
+        union all select 'lists', unnest(['payloads', 'errors', 'found']),
+          unnest([count(*), count(*) filter (bad), cast(coalesce(sum(n) filter (not bad), 0) as bigint)]) from l
+        union all select 'ads', 'found', (select count(*) from ({AD_TEXTS}) a)""",
     "citation_rings": f"""with recursive {RINGS}
         select domain, ring, count(*) over (partition by ring) as ring_size from g""",
     "credibility_steps": f"""with recursive {RINGS},

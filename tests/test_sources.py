@@ -150,3 +150,23 @@ def test_audience_ranges(spark):
         "regulatory trigger": {"C03", "C04", "C06", "C09", "C10", "C14", "C21", "C22"},
         "procurement": {"A14", "A15", "A19", "O08", "O09", "O10", "O11"},
     }
+
+
+def test_malformed_payloads_are_counted_beside_the_write(spark, tmp_path):
+    from pressgauge.plans import counters
+
+    good = "<rss><channel><item><title>a</title><link>http://a</link></item><item><link>http://b</link></item></channel></rss>"
+    bodies = [good, "<rss><channel></channel></rss>", good[:60], "plain text", "", None]
+    feeds = spark.createDataFrame([(f"u{i}", i, b) for i, b in enumerate(bodies)], "feed_url string, fetched_at int, body string")
+    lists = ['{"articles":[{"url":"http://x"}]}', '{"articles":[]}', "{}", '{"articles":[{"url"', "", None]
+    found = spark.createDataFrame([(0, "t", i, b) for i, b in enumerate(lists)], "theme_ordinal int, theme string, fetched_at int, body string")
+    parts = {"feeds": counters.counted_feeds(feeds), "lists": counters.counted_lists(found)}
+    counters.write_counted(parts, str(tmp_path), "r1")
+    got = {(r.part, r.counter): r.value for r in spark.read.parquet(str(tmp_path / "counters")).collect()}
+    assert got == {
+        ("feeds", "payloads"): 6, ("feeds", "errors"): 4, ("feeds", "found"): 2,
+        ("lists", "payloads"): 6, ("lists", "errors"): 3, ("lists", "found"): 1,
+    }
+    assert spark.read.parquet(str(tmp_path / "feeds")).count() == 2
+    recount = feeds.where(counters.malformed_feed(feeds.body)).count(), found.where(counters.malformed_list(found.body)).count()
+    assert recount == (4, 3)
