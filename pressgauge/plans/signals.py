@@ -18,15 +18,27 @@ def _words(text: str) -> Column:
 
 
 def volume_bursts(events: DataFrame, ts: str = "ts", group: str = "event_type", hours: int = 24, z: float = 2.0) -> DataFrame:
-    """Hours whose count stands ``z`` deviations above the mean of the group's ``hours`` counted hours before.
+    """Hours whose count stands ``z`` deviations above the mean of the ``hours`` hours before, silent hours counting zero.
 
-    Events are counted per group and hour first, so the window holds one row an hour.
+    The first hours of a group look back to its first event, and need three hours
+    of history. Events are counted per group and hour first, and silent hours enter
+    as numbers and not as rows, so the window holds one row an hour with events.
     """
     counts = events.groupBy(F.col(group).alias("grp"), F.date_trunc("hour", ts).alias("hour")).agg(F.count("*").alias("n"))
-    before = Window.partitionBy("grp").orderBy("hour").rowsBetween(-hours, -1)
-    scored = counts.withColumns({"seen": F.count("n").over(before), "mean": F.avg("n").over(before), "spread": F.stddev_pop("n").over(before)})
-    score = F.round((F.col("n") - F.col("mean")) / F.col("spread"), 6)
-    return scored.filter((F.col("seen") >= 3) & (F.col("spread") > 0)).withColumn("z", score).filter(F.col("z") >= z).select("grp", "hour", "n", "z")
+    counts = counts.withColumn("hour_no", F.floor(F.unix_timestamp("hour") / 3600))
+    in_order = Window.partitionBy("grp").orderBy("hour_no")
+    before = in_order.rangeBetween(-hours, -1)
+    none = F.lit(0).cast("long")
+    scored = counts.withColumns(
+        {
+            "span": F.least(F.lit(hours).cast("long"), F.col("hour_no") - F.min("hour_no").over(in_order)),
+            "s1": F.coalesce(F.sum("n").over(before), none),
+            "s2": F.coalesce(F.sum(F.col("n") * F.col("n")).over(before), none),
+        }
+    ).filter((F.col("span") >= 3) & (F.col("span") * F.col("s2") > F.col("s1") * F.col("s1")))
+    mean = F.col("s1") / F.col("span")
+    score = F.round((F.col("n") - mean) / F.sqrt(F.col("s2") / F.col("span") - mean * mean), 6)
+    return scored.withColumn("z", score).filter(F.col("z") >= z).select("grp", "hour", "n", "z")
 
 
 def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:

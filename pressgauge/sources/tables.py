@@ -11,9 +11,9 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ad_nodes(spark: SparkSession, path: str) -> DataFrame:
-    """Text nodes of ad cards."""
+    """Text nodes of ad cards, as ``ads.assemble_ads`` takes them; ``fetched_at`` names the run."""
     return spark.read.parquet(path).select(
-        "term", "country", "container_pos", "node_pos", "text", "advertiser_name"
+        "fetched_at", "term", "country", "container_pos", "node_pos", "text", "advertiser_name"
     )
 
 

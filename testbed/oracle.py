@@ -239,6 +239,7 @@ SQL: dict[str, str] = {
         case when f.ordinal <= 9 then 'A' else 'B' end as batch
         from fx_feed_items i join fx_feeds f on f.ordinal = i.ordinal group by 1, 2, 4""",
     "articles_with_feed": FEED_CANDIDATES,
+    "collect_run_later": f"select source_type, article_url, feed_ordinal, item_pos, fetched_at from ({FEED_CANDIDATES}) f",
     "html_to_text": f"""select page_id, substr(t, 1, 8000) as body_text, cast(length(t) as int) as content_length_full
         from (select page_id, {html_text('html')} as t from pages) p""",
     "content_hash": "select doc_id, sha256(text) as content_hash from documents",
@@ -290,6 +291,7 @@ SQL: dict[str, str] = {
         case source_type when 'facebook_ad' then 'term' end as search_term,
         case source_type when 'facebook_ad' then 'US' end as ad_country from fx_candidates""",
     "ad_texts": AD_TEXTS,
+    "ad_cards_read": AD_TEXTS,
     "ad_fallback": AD_FALLBACK,
     "page_ads": f"({AD_TEXTS}) union all ({AD_FALLBACK})",
     "ads_topk": ADS_TOPK,
@@ -454,12 +456,12 @@ SQL: dict[str, str] = {
     "stream_scans": """select p.content_hash, p.spi_score, p.the_verdict, coalesce(t.n, 0) as tactics
         from fx_response_parts p left join (select content_hash, count(*) as n from fx_response_tactics group by 1) t
           on t.content_hash = p.content_hash where not p.broken""",
-    "volume_bursts": """select grp, hour, n, z from (
-        select *, round((n - mean) / spread, 6) as z from (
-          select *, count(n) over w as seen, avg(n) over w as mean, stddev_pop(n) over w as spread from (
-            select event_type as grp, date_trunc('hour', ts) as hour, count(*) as n from {events} group by 1, 2) c
-          window w as (partition by grp order by hour rows between 24 preceding and 1 preceding)) q
-        where seen >= 3 and spread > 0) z where z >= 2.0""",
+    "volume_bursts": """with c as (select event_type as grp, date_trunc('hour', ts) as hour, count(*) as n from {events} group by 1, 2),
+        g as (select grp, unnest(generate_series(min(hour), max(hour), interval 1 hour)) as hour from c group by grp),
+        f as (select g.grp, g.hour, coalesce(c.n, 0) as n from g left join c on c.grp = g.grp and c.hour = g.hour),
+        q as (select *, count(*) over w as seen, avg(n) over w as mean, stddev_pop(n) over w as spread from f
+          window w as (partition by grp order by hour rows between 24 preceding and 1 preceding))
+        select grp, hour, n, z from (select *, round((n - mean) / spread, 6) as z from q where seen >= 3 and spread > 0 and n > 0) t where z >= 2.0""",
     "citation_cycles": f"""with e as (select distinct source, target from (
           select {host('url')} as source, {host('link')} as target from (
             select url, unnest(regexp_extract_all(html, 'href=["''](https?://[^"''\\s>]+)', 1)) as link from fx_linked_pages) l) x

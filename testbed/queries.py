@@ -14,7 +14,7 @@ from pressgauge.operators.graph import written
 from pressgauge.plans import analyse, analytics, citation, consensus, counters, cues, ingest, marts, signals
 from pressgauge.session import configure, scratch_dir
 from pressgauge.sinks import tables as sinks
-from pressgauge.sources import discovery, enrichment, feeds, responses, seeds, taxonomy
+from pressgauge.sources import discovery, enrichment, feeds, responses, seeds, tables, taxonomy
 from pressgauge.streaming import jobs
 from testbed import tables as T
 
@@ -327,8 +327,8 @@ def all_candidates(s, d):
     return every.select(*ARTICLE_FIELDS, "region", "search_term")
 
 
-def _run_items(s, d):
-    return ingest.collect_run(articles_with_feed(s, d), discovery.discovery_candidates(discovery.per_run_cut(_discovery(s, d))), start=0)
+def _run_items(s, d, start=0):
+    return ingest.collect_run(articles_with_feed(s, d), discovery.discovery_candidates(discovery.per_run_cut(_discovery(s, d))), start)
 
 
 @query
@@ -350,6 +350,20 @@ def queue_candidates(s, d):
     return s.read.parquet(path).drop("run", "queued_on", "body_text", "published_bad", "fetched_at")
 
 
+@query
+def ad_cards_read(s, d):
+    """Ad cards from a landed node table, through its reader."""
+    path = scratch_dir(s, "ad-nodes")
+    fx(s, d, "ad_nodes").write.parquet(path)
+    return ads.assemble_ads(tables.read_ad_nodes(s, path))
+
+
+@query
+def collect_run_later(s, d):
+    """Items of a batch that starts behind the first feed: discovery is not its business."""
+    return _run_items(s, d, start=10).select("source_type", "article_url", "feed_ordinal", "item_pos", "fetched_at")
+
+
 @query
 def run_counters(s, d):
     """Counters of a run whose every seventh feed and fifth list was cut off in transit."""

@@ -12,7 +12,7 @@ from testbed.queries import REGISTRY
 
 EAGER = {"queue_candidates", "scans_out", "tactics_out", "analysed_weekly", "mart_refresh", "stream_dedup", "stream_status", "stream_scans", "stream_weekly", "stream_transitions",
          "stream_scan_rows", "stream_tactics_weekly", "tactic_mart_refresh", "coordinated_text", "semantic_consensus", "citation_rings", "credibility_steps",
-         "migration_by_cluster", "run_counters"}
+         "migration_by_cluster", "run_counters", "ad_cards_read"}
 
 
 def plan_of(df) -> str:

@@ -13,6 +13,23 @@ def test_bursts_need_history_and_spread(spark):
     assert [(r.grp, r.hour.hour, r.n) for r in signals.volume_bursts(events).collect()] == [("a", 10, 60)]
 
 
+def test_silent_hours_lower_the_mean(spark):
+    """Ten events every sixth hour: the silent hours between are part of the history."""
+    rows = [(6 * i, 10) for i in range(6)] + [(37, 10)]
+    events = spark.createDataFrame(rows, "h int, n int").select(
+        F.lit("a").alias("event_type"), (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(hours=F.col("h"))).alias("ts"), F.explode(F.sequence(F.lit(1), F.col("n")))
+    )
+    got = {r.hour.day * 24 + r.hour.hour - 24: r.z for r in signals.volume_bursts(events).collect()}
+    counts = dict(rows)
+    for hour, n in rows:
+        history = [counts.get(h, 0) for h in range(max(0, hour - 24), hour)]
+        if len(history) >= 3 and len(set(history)) > 1:
+            mean = sum(history) / len(history)
+            z = (n - mean) / (sum((x - mean) ** 2 for x in history) / len(history)) ** 0.5
+            assert (round(z, 6) == got[hour]) if z >= 2 else hour not in got
+    assert set(got) <= set(counts) and len(got) > 3
+
+
 def test_cycles_and_own_links(spark):
     pages = [("https://a.com/1", "<a href='https://b.com/x'>"), ("https://b.com/", '<a href="http://www.a.com">'), ("https://c.com", '<a href="https://a.com"><a href="https://c.com/2">'), ("https://d.com", None)]
     edges = signals.link_edges(spark.createDataFrame(pages, "url string, html string"))
