@@ -260,6 +260,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """id, part: the least id of each edge's component, by alternating large and small stars.
 
     Every round is written to the shared folder, so no lineage grows and nothing is gathered on the driver.
+    It raises if ``rounds`` do not suffice.
     """
     edges = edges.select("a", "b").where("a <> b").distinct()
     before = None
@@ -278,6 +279,8 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         if (mark["n"], mark["s"]) == before:
             break
         before = (mark["n"], mark["s"])
+    else:
+        raise RuntimeError(f"components did not settle within {rounds} rounds")
     parts = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("part"))
     roots = edges.select(F.col("b").alias("id"), F.col("b").alias("part")).distinct()
     return parts.union(roots.join(parts, "id", "left_anti"))

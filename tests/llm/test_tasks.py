@@ -311,3 +311,10 @@ def test_adverts_may_outweigh_the_article():
 def test_comments_may_outweigh_the_article():
     para = "A paragraph of the story that goes on for a good while. " * 3
     assert main_text.main_text(f"<body><div><p>{para}</p></div><div id=comments>{'<p>Readers say much. </p>' * 90}</div>") == para.strip()
+
+
+def test_components_that_do_not_settle_raise(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    assert {r.part for r in bag_minhash.components(path).collect()} == {0}
+    with pytest.raises(RuntimeError):
+        bag_minhash.components(path, rounds=1)
