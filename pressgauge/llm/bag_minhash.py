@@ -8,9 +8,12 @@ shares its first points with a lighter one and costs no more than its ranges.
 A register keeps its earliest point; two texts agree in a register with probability
 equal to their weighted Jaccard similarity.
 
-Registers are banded. Within a bucket, members are compared with one of them only,
-a few times over; the links found join into components, and whatever still shares
-buckets across components is compared then. So no pairs inside a component are
+Registers are banded. Of the texts in crowded buckets it is counted how much of each
+none of the others has: that bounds what it can share with any of them, so a text
+that is altered too much to reach the threshold leaves such buckets at once. Within a
+bucket, members are compared with one of them only, a few times over; the links found
+join into components, and whatever still shares buckets across components and may
+reach the threshold by that bound is compared then. So no pairs inside a component are
 listed, and no link between components is lost. Every link is verified exactly
 on the multisets.
 """
@@ -28,8 +31,13 @@ from pressgauge.llm.common import map_batches, stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 REGISTERS, BANDS = 128, 32
-#: Pairs at the threshold share 13 of 32 bands on average, and fewer than 3 once in 80,000.
+#: The rounds compare what shares so many bands; what shares fewer is left to the last comparison.
 LEAST_BANDS = 3
+#: Buckets of more members have what is each member's own counted.
+CROWD = 16
+#: Longs of a text's parity bitmap.
+PARITY = 16
+_SLACK = 1e-6  # for bounds that are met exactly
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
 
 
@@ -66,6 +74,16 @@ def as_set(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.where(nth > 0, _mix(repeated + nth.astype(np.uint64) * _D), repeated)
 
 
+def parities(elements: np.ndarray, longs: int = PARITY) -> np.ndarray:
+    """A bitmap of ``longs`` longs: whether the number of elements that fall on each bit is odd.
+
+    An element of one of two sets alone changes one bit between their bitmaps, so
+    the bits that differ are at most as many as the elements that do.
+    """
+    counts = np.bincount((_mix(elements) % np.uint64(64 * longs)).astype(np.int64), minlength=64 * longs)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def signatures(bags: list[tuple[np.ndarray, np.ndarray]], registers: int = REGISTERS) -> np.ndarray:
     """Per bag the time of the earliest point in each register; empty bags stay at infinity."""
     out = np.full((len(bags), registers), np.inf)
@@ -142,17 +160,19 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(texts: DataFrame) -> DataFrame:
-    """id and the set form of the multiset, for a table of id and text."""
-    schema = pa.schema([("id", pa.int64()), ("grams", pa.list_(pa.int64()))])
+    """id, the set form of the multiset and its bitmap, for a table of id and text."""
+    schema = pa.schema([("id", pa.int64()), ("grams", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                grams = [as_set(*shingles(t.as_py())).view(np.int64) for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(grams, schema.field("grams").type)], schema=schema)
+                sets = [as_set(*shingles(t.as_py())) for t in part.column(1)]
+                grams = pa.array([x.view(np.int64) for x in sets], schema.field("grams").type)
+                bits = pa.array([parities(x) for x in sets], schema.field("bits").type)
+                yield pa.RecordBatch.from_arrays([part.column(0), grams, bits], schema=schema)
 
-    return map_batches(texts.select("id", "text"), run, "id long, grams array<long>")
+    return map_batches(texts.select("id", "text"), run, "id long, grams array<long>, bits array<long>")
 
 
 def _small(df: DataFrame, most: int = 300_000) -> DataFrame:
@@ -167,20 +187,22 @@ class _Verifier:
         self.docs, self.nodes, self.threshold = docs, nodes, threshold
         self.grams: DataFrame | None = None
 
-    def _extend(self, pairs: DataFrame) -> DataFrame:
-        met = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    def sets(self, met: DataFrame) -> DataFrame:
+        """id, set form and bitmap, one row each, for at least the ids of ``met``."""
         fresh = met if self.grams is None else met.join(self.grams.select("id"), "id", "left_anti")
         wanted = stored(self.nodes.select("id", "doc", "ka", "kb").join(fresh, "id", "left_semi"), "wanted-texts")
         same = (F.col("d.ka") == F.col("w.ka")) & (F.col("d.kb") == F.col("w.kb")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc"))
         texts = self.docs.select("doc_id", *_key(F.col("text")), "text").alias("d").join(_small(wanted).alias("w"), same)
         more = stored(_shingle_sets(texts.select("w.id", "d.text")), "shingle-sets")
+        if not more.groupBy("id").count().where("count > 1").isEmpty():  # rows of equal text and id
+            more = stored(more.dropDuplicates(["id"]), "shingle-sets")
         self.grams = more if self.grams is None else self.grams.unionByName(more)
         return self.grams
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that reach the threshold."""
         pairs = stored(pairs, "candidate-pairs")
-        grams = self._extend(pairs)
+        grams = self.sets(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
         firsts = grams.join(_small(stored(pairs.select(F.col("a").alias("id")).distinct(), "firsts")), "id", "left_semi")
         both = (
             grams.select(F.col("id").alias("b"), F.col("grams").alias("gb")).join(_small(pairs), "b")
@@ -192,7 +214,7 @@ class _Verifier:
 
 
 def _often(pairs: DataFrame) -> DataFrame:
-    """Pairs met in enough buckets."""
+    """Pairs met in several buckets, which are the likely ones."""
     return pairs.groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_BANDS).select("a", "b")
 
 
@@ -213,46 +235,87 @@ def _joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     return stored(kept.select("id", F.coalesce("new", "part").alias("part")).union(alone.select("id", "part")), "parts")
 
 
+def _may_reach(threshold: float, shared: Column, weight: Column, other: Column) -> Column:
+    """Whether texts of ``weight`` and ``other`` shingles of which ``shared`` at most are common can reach the threshold."""
+    return shared * (1 + threshold) + _SLACK >= threshold * (weight + other)
+
+
+def _differ(bits: Column, others: Column) -> Column:
+    """How many bits of two bitmaps differ; none are known to where a bitmap is missing."""
+    parts = [F.bit_count(F.get(bits, F.lit(k)).bitwiseXOR(F.get(others, F.lit(k)))) for k in range(PARITY)]
+    return F.coalesce(sum(parts[1:], parts[0]), F.lit(0))
+
+
+def _buckets(nodes: DataFrame, verify: _Verifier, threshold: float) -> DataFrame:
+    """h, id, weight, shared and part of the members of every bucket of several; each member is a part of its own yet.
+
+    shared bounds what a member can have in common with any other of the bucket:
+    in crowded buckets its shingles that another text of such a bucket has, else
+    all. Members that cannot reach the threshold with the bucket's lightest one,
+    or the lightest that they may be linked to, have no link there and are left out.
+    """
+    narrow = nodes.select("id", "weight", F.explode("bands").alias("h"))
+    several = narrow.groupBy("h").agg(F.count("*").alias("n"), F.min("weight").alias("low")).where("n > 1")
+    rows = stored(narrow.join(several, "h").select("h", "id", "weight", "n", "low"), "buckets")
+    crowded = F.col("n") > CROWD
+    ids = stored(rows.where(crowded).select("id").distinct(), "crowded")
+    held = verify.sets(ids).join(_small(ids), "id", "left_semi")
+    # a shingle of one text only is that text's own
+    alone = held.select("id", F.explode("grams").alias("g")).groupBy("g").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
+    own = stored(alone.groupBy("id").agg(F.count("*").alias("own")), "own-shingles")
+    shared = F.col("weight") - F.when(crowded, F.coalesce("own", F.lit(0))).otherwise(0)
+    bounded = rows.join(_small(own), "id", "left").withColumn("shared", shared)
+    able = _may_reach(threshold, F.col("shared"), F.col("weight"), F.greatest(F.col("low"), F.col("weight") * threshold))
+    return stored(bounded.where(able).select("h", "id", "weight", "shared", F.col("id").alias("part")), "bounded-buckets")
+
+
 def _parts(docs: DataFrame, nodes: DataFrame, threshold: float, rounds: int = 8) -> DataFrame:
     """id, part: the components of all links between nodes that share enough bands, for nodes in any link.
 
-    Each round compares the members of every bucket with one of them, chosen by a
-    hash, if they are not in its component already; it is repeated while it still
-    joins many. Then all pairs that share a bucket across components are compared,
-    so what the rounds left out is found.
+    Each round compares the members of every bucket with one of them, first the one
+    with the least of its own and then one chosen by a hash, if they are not in its
+    component already; it is repeated while it still joins many. Then all pairs that
+    share a bucket across components, and whose bitmaps differ little enough, are
+    compared, so what the rounds left out is found.
     """
     verify = _Verifier(docs, nodes, threshold)
-    narrow = nodes.select("id", "weight", F.explode("bands").alias("h"))
-    several = narrow.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    rows = stored(narrow.join(several, "h").select("h", "id", "weight", F.col("id").alias("part")), "buckets")
-    light = lambda x, y: F.least(x, y) >= F.greatest(x, y) * threshold
+    rows = _buckets(nodes, verify, threshold)
+    light = lambda s, t, x, y: _may_reach(threshold, F.least(s, t), x, y)
     parts: DataFrame | None = None
     n_links = 0
     for turn in range(rounds):
-        chosen = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("o"), F.col("id"), F.col("part"), F.col("weight"))).alias("l")
+        own = (F.col("weight") - F.col("shared")) / F.col("weight") if turn == 0 else F.lit(0.0)
+        chosen = F.min(F.struct(own.alias("own"), F.xxhash64("id", F.lit(turn)).alias("o"), "id", "part", "weight", "shared")).alias("l")
         mixed = rows.groupBy("h").agg(chosen, F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-        mixed = stored(mixed.select("h", "l.id", "l.part", "l.weight").toDF("h", "lead", "lead_part", "lead_weight"), "leaders")
-        rows = stored(rows.join(_small(mixed), "h").select(*rows.columns, "lead", "lead_part", "lead_weight"), "mixed-buckets")
-        apart = rows.where((F.col("part") != F.col("lead_part")) & light(F.col("weight"), F.col("lead_weight")))
+        led = ("lead", "lead_part", "lead_weight", "lead_shared")
+        mixed = stored(mixed.select("h", "l.id", "l.part", "l.weight", "l.shared").toDF("h", *led), "leaders")
+        rows = stored(rows.join(_small(mixed), "h").select(*rows.columns, *led), "mixed-buckets")
+        apart = rows.where(
+            (F.col("part") != F.col("lead_part")) & light(F.col("shared"), F.col("lead_shared"), F.col("weight"), F.col("lead_weight"))
+        )
         # the leader comes first: few of them, with many partners each
         found = verify(_often(apart.select(F.col("lead").alias("a"), F.col("id").alias("b"))))
-        rows = rows.drop("lead", "lead_part", "lead_weight")
+        rows = rows.drop(*led)
         n_new = found.count()
         n_links += n_new
         if n_new or parts is None:
             parts = _joined(parts, found)
             new = _small(parts.withColumnRenamed("part", "new"))
-            rows = rows.join(new, "id", "left").select("h", "id", "weight", F.coalesce("new", "id").alias("part"))
+            rows = rows.join(new, "id", "left").select("h", "id", "weight", "shared", F.coalesce("new", "id").alias("part"))
         if 300 * n_new <= n_links:
             break
     mixed = rows.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("h")
-    left = stored(rows.join(mixed, "h"), "mixed-buckets")
+    left = stored(rows.join(mixed, "h").join(verify.grams.select("id", "bits"), "id", "left"), "mixed-buckets")
+    may = light(F.col("x.shared"), F.col("y.shared"), F.col("x.weight"), F.col("y.weight"))
+    # of all shingles of a pair at the threshold, so many at most are in one text alone
+    alone = (1 - threshold) / (1 + threshold) * (F.col("x.weight") + F.col("y.weight")) + _SLACK
+    may = may & (_differ(F.col("x.bits"), F.col("y.bits")) <= alone)
     crossing = (
         left.alias("x")
-        .join(left.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.part") < F.col("y.part")) & light(F.col("x.weight"), F.col("y.weight")))
+        .join(left.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.part") < F.col("y.part")) & may)
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     )
-    last = verify(_often(crossing))
+    last = verify(crossing.distinct())
     return _joined(parts, last) if last.count() else parts
 
 

@@ -318,3 +318,35 @@ def test_components_that_do_not_settle_raise(spark):
     assert {r.part for r in bag_minhash.components(path).collect()} == {0}
     with pytest.raises(RuntimeError):
         bag_minhash.components(path, rounds=1)
+
+
+def test_altered_copies_in_one_crowded_bucket(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    base, rows = [f"v{k}" for k in range(150)], []
+    for n in range(160):  # copies altered at none to a quarter of their words, some in the same places
+        words = list(base)
+        for place in rng.choice(150 if n % 3 else 12, rng.integers(0, 10), replace=False):
+            words[place] = f"x{place}" if n % 2 else f"x{place}_{n}"
+        rows.append((n, " ".join(words)))
+    rows += [(None, rows[3][1])] * 30 + [(5, rows[5][1])] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    expect = classes_by_brute_force(rows)
+    seen, often = [], bag_minhash._Verifier.__call__
+
+    def count(self, pairs):
+        seen.append(pairs.count())
+        return often(self, pairs)
+
+    monkeypatch.setattr(bag_minhash._Verifier, "__call__", count)
+    got = bag_minhash.near_duplicates(docs).collect()
+    assert Counter((r.doc_id, r.class_id) for r in got) == Counter((i, expect[t]) for i, t in rows)
+    assert len(set(expect.values())) > 10 and max(seen) < 160 * 159 / 8
+
+
+def test_parity_bitmaps_bound_what_two_sets_do_not_share():
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 2**63, 4000, dtype=np.uint64)
+    for size in (0, 1, 7, 300, 2000):
+        a, b = (np.unique(rng.choice(pool, size)) for _ in range(2))
+        x, y = (np.unpackbits(bag_minhash.parities(s).view(np.uint8)) for s in (a, b))
+        assert (x != y).sum() <= len(np.setxor1d(a, b)) and len(x) == 64 * bag_minhash.PARITY
