@@ -180,6 +180,19 @@ def _small(df: DataFrame, most: int = 300_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def _few(df: DataFrame, rows: int | None = None, most: int = 300_000) -> DataFrame:
+    """``df``, written already and a few numbers wide, in one partition for every ``most`` rows.
+
+    Tables of one partition are grouped and joined without an exchange.
+    """
+    return df.coalesce(1 + (df.count() if rows is None else rows) // most)
+
+
+def _both_ends(links: DataFrame) -> DataFrame:
+    """The distinct ids of ``links`` (a, b), in the partitions that those have."""
+    return links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
+
 class _Verifier:
     """Checks pairs of nodes on their multisets, each of which is computed once."""
 
@@ -189,8 +202,10 @@ class _Verifier:
 
     def sets(self, met: DataFrame) -> DataFrame:
         """id, set form and bitmap, one row each, for at least the ids of ``met``."""
-        fresh = met if self.grams is None else met.join(self.grams.select("id"), "id", "left_anti")
-        wanted = stored(self.nodes.select("id", "doc", "ka", "kb").join(fresh, "id", "left_semi"), "wanted-texts")
+        wanted = self.nodes.select("id", "doc", "ka", "kb").join(_small(met), "id", "left_semi")
+        if self.grams is not None:
+            wanted = wanted.join(_small(self.grams.select("id")), "id", "left_anti")
+        wanted = stored(wanted, "wanted-texts")
         same = (F.col("d.ka") == F.col("w.ka")) & (F.col("d.kb") == F.col("w.kb")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc"))
         texts = self.docs.select("doc_id", *_key(F.col("text")), "text").alias("d").join(_small(wanted).alias("w"), same)
         more = stored(_shingle_sets(texts.select("w.id", "d.text")), "shingle-sets")
@@ -200,9 +215,9 @@ class _Verifier:
         return self.grams
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that reach the threshold."""
-        pairs = stored(pairs, "candidate-pairs")
-        grams = self.sets(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
+        """The pairs (a, b), none of them twice, that reach the threshold."""
+        pairs = _few(stored(pairs, "candidate-pairs"))
+        grams = self.sets(stored(_both_ends(pairs), "met"))
         firsts = grams.join(_small(stored(pairs.select(F.col("a").alias("id")).distinct(), "firsts")), "id", "left_semi")
         both = (
             grams.select(F.col("id").alias("b"), F.col("grams").alias("gb")).join(_small(pairs), "b")
@@ -210,7 +225,7 @@ class _Verifier:
             .withColumn("common", F.size(F.array_intersect("ga", "gb")))
         )
         reached = F.col("common") >= self.threshold * (F.size("ga") + F.size("gb") - F.col("common"))
-        return stored(both.where(reached).select("a", "b").distinct(), "links")
+        return stored(both.where(reached).select("a", "b"), "links")
 
 
 def _often(pairs: DataFrame) -> DataFrame:
@@ -220,6 +235,7 @@ def _often(pairs: DataFrame) -> DataFrame:
 
 def _joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     """id, part after ``links`` have joined parts; ids that are in no link stand for themselves and are left out."""
+    links = _few(links)
     if parts is None:
         return stored(components(links), "parts")
     old = _small(parts)
@@ -231,7 +247,7 @@ def _joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     moved = stored(components(edges), "moved-parts")
     to = _small(moved)
     kept = parts.join(to.select(F.col("id").alias("part"), F.col("part").alias("new")), "part", "left")
-    alone = moved.join(parts.select("id"), "id", "left_anti")
+    alone = moved.join(old.select("id"), "id", "left_anti")
     return stored(kept.select("id", F.coalesce("new", "part").alias("part")).union(alone.select("id", "part")), "parts")
 
 
@@ -325,28 +341,31 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     Every round is written to the shared folder, so no lineage grows and nothing is gathered on the driver.
     It raises if ``rounds`` do not suffice.
     """
-    edges = edges.select("a", "b").where("a <> b").distinct()
+    edges = stored(edges.select("a", "b").where("a <> b").distinct(), "component-edges")
     before = None
     for _ in range(rounds):
-        ways = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = ways.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = ways.join(least, "a").where("b > a").select(F.col("b").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        # every u now has larger-to-smaller edges (u, v) only
-        floor = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(floor, "u")
-        edges = stored(
-            small.select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").union(floor.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct(),
-            "component-edges",
-        )
         mark = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
+        edges = _few(edges, mark["n"])
         if (mark["n"], mark["s"]) == before:
             break
         before = (mark["n"], mark["s"])
+        ways = _two_ways(edges, ("a", "b"), ("b", "a"))
+        least = ways.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        large = ways.join(least, "a").where("b > a").select(F.col("b").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        # every u now has larger-to-smaller edges (u, v) only
+        floor = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = _two_ways(large.join(floor, "u"), ("v", "m"), ("u", "m"))
+        edges = stored(small.where("a <> b").distinct(), "component-edges")
     else:
         raise RuntimeError(f"components did not settle within {rounds} rounds")
-    parts = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("part"))
-    roots = edges.select(F.col("b").alias("id"), F.col("b").alias("part")).distinct()
-    return parts.union(roots.join(parts, "id", "left_anti"))
+    ends = _two_ways(edges, ("a", "b"), ("b", "b"))
+    return ends.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("part"))
+
+
+def _two_ways(df: DataFrame, *ways: tuple[str, str]) -> DataFrame:
+    """Two rows (a, b) of each row, from the named columns, in the partitions that ``df`` has."""
+    ends = [F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in ways]
+    return df.select(F.explode(F.array(*ends)).alias("way")).select("way.a", "way.b")
 
 
 def _classes(held: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
