@@ -15,6 +15,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,7 +32,7 @@ BLOCK = frozenset(
     "figure figcaption address header footer nav aside form fieldset hr br details summary center hgroup search dialog menu option".split()
 )
 ASIDE = frozenset(
-    "head nav aside footer header form button select option input label fieldset dialog menu svg canvas object audio video map search".split()
+    "head nav aside footer header button select option input label fieldset dialog menu svg canvas object audio video map search".split()
 ) | RAW
 OWN_END = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 NOISE = frozenset(
@@ -67,18 +68,18 @@ def _named_noise(value: str) -> str | None:
 
 
 def _noise(tag: str, attributes: str) -> str | bool:
-    """Whether an element is set aside; if its class or id alone says so, the name that does."""
+    """Whether an element is set aside; if its class or id alone says so, or a form does, the name that does."""
     if tag in ASIDE:
         return True
+    named: str | bool = "form" if tag == "form" else False  # a form may be wrapped around a whole page
     if not attributes.strip() or tag in ("html", "body", "main", "article"):
-        return False
-    named: str | bool = False
+        return named
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "aria-hidden" and value.strip() == "true" or name == "role" and not NOISE_ROLES.isdisjoint(value.split()):
             return True
         if name in ("class", "id"):
-            named = named or _named_noise(value) or False
+            named = named if named in READERS else _named_noise(value) or named
     return named
 
 
@@ -87,7 +88,9 @@ class Page:
 
     def __init__(self, source: str):
         self.parent, self.tag, self.aside = [-1], ["body"], [False]
-        self.named: dict[int, str] = {}  # nodes that only a class or id speaks against
+        self.named: dict[int, str] = {}  # nodes that only a class, an id or being a form speaks against
+        self.places: defaultdict[str, list[int]] = defaultdict(list)  # of the open elements of each tag, their places in the stack
+        self.blocks: list[int] = []  # the places of open blocks
         self.flow: list[tuple[int, str | None]] = []  # (node, text), or (node, None) for a break between blocks
         stack, at, size = [0], 0, len(source)
         while at < size:
@@ -151,32 +154,38 @@ class Page:
             self.named[node] = noise
         self.aside.append(self.aside[stack[-1]] or noise is True)
         if tag not in VOID and not (attributes.endswith("/") and tag not in BLOCK):
+            self.places[tag].append(len(stack))
+            if tag in BLOCK:
+                self.blocks.append(len(stack))
             stack.append(node)
 
+    def _cut(self, stack: list[int], place: int) -> None:
+        """End the open elements from ``place`` on."""
+        for node in stack[place:]:
+            self.places[self.tag[node]].pop()
+            if self.tag[node] in BLOCK:
+                self.blocks.pop()
+        del stack[place:]
+
+    def _last(self, tag: str) -> int:
+        """The place of the innermost open element of a tag; 0 if there is none."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
     def _end_paragraph(self, stack: list[int]) -> None:
         """A block ends an open paragraph, unless a block stands between them."""
-        for place in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[place]] == "p":
-                del stack[place:]
-                return
-            if self.tag[stack[place]] in BLOCK:
-                return
+        if self.blocks and self.blocks[-1] == self._last("p"):
+            self._cut(stack, self.blocks[-1])
 
     def _pop_to(self, stack: list[int], tag: str, bounds: tuple[str, ...]) -> None:
-        for place in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[place]] == tag:
-                del stack[place:]
-                return
-            if self.tag[stack[place]] in bounds:
-                return
+        if self._last(tag) > max(map(self._last, bounds)):
+            self._cut(stack, self._last(tag))
 
     def _close(self, stack: list[int], tag: str) -> None:
         if tag in BLOCK:
             self._break(stack[-1])
-        for place in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[place]] == tag:
-                del stack[place:]
-                return
+        if self._last(tag):
+            self._cut(stack, self._last(tag))
 
     def densities(self) -> tuple[list[float], list[float]]:
         """(composite density, sum of the children's) of every node that is not set aside; others have 0."""
