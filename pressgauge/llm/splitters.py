@@ -8,12 +8,16 @@ and the few shards are cut from the ranges' exact cumulative sizes.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressgauge.llm.common import stored
 
 LEAST = -(2**63)
+#: How the texts of a range come by their shard, where it is not given: by the middle of the text, or of each row.
+PLACED_BY_TEXT, PLACED_BY_ROW = -1, -2
 KEY_SCHEMA = "array<struct<k:bigint,d:bigint,r:bigint>>"
 
 
@@ -73,15 +77,16 @@ def _cuts(sample: list[tuple[tuple[int, int, int], float]], target: float, whole
 
 
 def fine_ranges(keys: DataFrame, ranges: int, per_range: int, rounds: int = 8):
-    """(boundaries, {range: (rows, bytes)}, texts that are divided) such that no range is overfull.
+    """(boundaries, {range: (rows, bytes)}, {divided text: its ranges}) such that no range is overfull.
 
     A row weighs its share of all bytes plus its share of all rows, which bounds
     both the bytes and the rows of a range. The sample is drawn by hash, about
-    ``ranges * per_range`` rows at most, whatever the table's size.
+    ``ranges * per_range`` rows at most, whatever the table's size. It warns if
+    ``rounds`` do not suffice; larger ranges make larger tasks and change nothing else.
     """
     total = keys.agg(F.count("*").alias("n"), F.sum("size").alias("b")).first()
     if not total["n"]:
-        return [], {}, []
+        return [], {}, {}
     weight = F.col("size") / F.lit(float(total["b"])) + F.lit(1.0 / total["n"])
     target = 2.0 / ranges
     bounds: list[tuple[int, int, int]] = []
@@ -115,18 +120,25 @@ def fine_ranges(keys: DataFrame, ranges: int, per_range: int, rounds: int = 8):
         divided.update(c["low"] for c in counted if c["range"] in wanted and c["low"] == c["high"])
         if not wanted:
             break
-    return bounds, {c["range"]: (c["n"], c["b"]) for c in counted}, sorted(divided)
+    else:
+        warnings.warn(f"{len(wanted)} ranges are overfull after {rounds} rounds", stacklevel=2)
+    pieces: dict[int, list[int]] = {}
+    for c in sorted(counted, key=lambda c: c["range"]):
+        if c["low"] == c["high"] and c["low"] in divided:
+            pieces.setdefault(c["low"], []).append(c["range"])
+    return bounds, {c["range"]: (c["n"], c["b"]) for c in counted}, pieces
 
 
 def assign_shards(
-    docs: DataFrame, shards: int = 8, ranges: int = 2048, per_range: int = 16, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shards: int = 8, ranges: int = 2048, per_range: int = 16, whole: float = 0.05, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Put every row into one of ``shards`` shards of near equal bytes.
 
     Returns doc_id, size, text_crc32, law ('bytes'), shard, slot (gapless from 0
     in each shard) and grown_shard (null: this law does not speak of growth).
-    Equal texts share a shard unless the text alone overfills a fine range; such
-    a text is divided by id. A null text counts as empty, a null id sorts first,
+    Equal texts share a shard, unless they hold more than ``whole`` of a shard's
+    bytes, which would make shards unequal by as much; such a text may be divided
+    by id. A null text counts as empty, a null id sorts first,
     repeated rows each get a slot, an empty table gives no rows, and any further
     columns are left aside.
     """
@@ -139,6 +151,13 @@ def assign_shards(
         first_byte.append(b)
         rows, size = counts.get(at, (0, 0))
         n, b = n + rows, b + size
+    shard_at = lambda twice: min(shards - 1, twice * shards // (2 * max(total, 1)))
+    placing = [PLACED_BY_TEXT] * (len(bounds) + 1)
+    for pieces in divided.values():
+        size = sum(counts[at][1] for at in pieces)
+        fits = size <= whole * total / shards
+        for at in pieces:
+            placing[at] = shard_at(2 * first_byte[pieces[0]] + size) if fits else PLACED_BY_ROW
     longs = lambda values: F.from_json(F.lit("[" + ",".join(map(str, values)) + "]"), "array<bigint>")
     order = Window.partitionBy("range").orderBy("k", "d", "r")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -147,10 +166,12 @@ def assign_shards(
         keys.withColumn("range", range_of(bounds))
         .withColumn("row", F.get(longs(first_row), F.col("range")) + F.row_number().over(order) - 1)
         .withColumn("byte", F.get(longs(first_byte), F.col("range")) + F.sum("size").over(running) - F.col("size"))
-        .withColumn("alone", F.array_contains(longs(divided), F.col("k")) if divided else F.lit(False))
+        .withColumn("placing", F.get(longs(placing), F.col("range")))
+        .withColumn("alone", F.col("placing") == PLACED_BY_ROW)
         .withColumn("from", F.when(F.col("alone"), F.col("byte")).otherwise(F.min("byte").over(text_of)))
         .withColumn("to", F.when(F.col("alone"), F.col("byte") + F.col("size")).otherwise(F.max(F.col("byte") + F.col("size")).over(text_of)))
-        .withColumn("shard", F.least(F.lit(shards - 1), F.floor((F.col("from") + F.col("to")) / 2.0 * shards / max(total, 1))).cast("int"))
+        .withColumn("shard", F.least(F.lit(shards - 1), F.expr(f"((from + to) * {shards}) div {2 * max(total, 1)}")))
+        .withColumn("shard", F.when(F.col("placing") >= 0, F.col("placing")).otherwise(F.col("shard")).cast("int"))
         .select("doc_id", "size", "text_crc32", "shard", "row")
     )
     placed = stored(placed, "shard-rows")

@@ -86,3 +86,16 @@ def test_hot_text_is_divided_and_sizes_are_even(spark):
     assert len(size) == 8 and max(abs(v - mean) for v in size.values()) < 0.02 * mean
     apart = Counter(r.text_crc32 for r in {(r.text_crc32, r.shard): r for r in rows if r.doc_id % 3}.values())
     assert max(apart.values()) == 1  # equal texts share a shard unless they overfill a range
+
+
+def test_texts_of_less_than_a_twentieth_of_a_shard_stay_whole(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 200} " + "word " * 20) for i in range(4000)], "doc_id long, text string")
+    rows = splitters.assign_shards(docs).collect()  # 200 texts of 0.5 % each, far over a fine range
+    shards_of = {}
+    for r in rows:
+        shards_of.setdefault(r.text_crc32, set()).add(r.shard)
+    assert len(shards_of) == 200 and all(len(s) == 1 for s in shards_of.values())
+    sizes = [sum(r["size"] for r in rows if r.shard == s) for s in range(8)]
+    assert max(sizes) - min(sizes) <= 0.1 * sum(sizes) / 8
+    for s in range(8):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))

@@ -350,3 +350,26 @@ def test_parity_bitmaps_bound_what_two_sets_do_not_share():
         a, b = (np.unique(rng.choice(pool, size)) for _ in range(2))
         x, y = (np.unpackbits(bag_minhash.parities(s).view(np.uint8)) for s in (a, b))
         assert (x != y).sum() <= len(np.setxor1d(a, b)) and len(x) == 64 * bag_minhash.PARITY
+
+
+def test_main_text_of_pages_within_a_form():
+    para = "The council voted on the budget after a long debate about roads, schools and parks in the town. " * 3
+    fields = "<label>Your name</label><input name=n><select><option>One</option></select><button>Send</button>"
+    page = f"<body><form id=aspnetForm action=/><nav>Home News</nav><article><p>{para}</p><p>{para}</p></article>{fields}</form></body>"
+    assert main_text.main_text(page).split("\n") == [para.strip()] * 2
+    inner = f"<body><article><p>{para}</p><form class=x>Write to us here {fields}</form><p>{para}</p></article></body>"
+    assert main_text.main_text(inner).split("\n") == [para.strip()] * 2
+    readers = f"<body><article><p>{para}</p></article><form class=comment-form>{'<p>Readers say much. </p>' * 90}</form></body>"
+    assert main_text.main_text(readers) == para.strip()
+
+
+def test_main_text_is_linear_in_the_depth_of_open_tags():
+    import time
+
+    def seconds(n: int, part: str) -> float:
+        began = time.process_time()
+        main_text.main_text("<div>" * n + "<span>" * n + part * n + "text")
+        return time.process_time() - began
+
+    for part in ("</b>", "<p>a", "<li>a</li>", "<td>a</td>"):
+        assert seconds(40_000, part) < 12 * max(seconds(10_000, part), 0.05)
