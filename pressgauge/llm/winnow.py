@@ -4,7 +4,8 @@ Both sides keep, of every run of ``WINDOW`` consecutive k-grams, the one with th
 smallest hash. A span of K + WINDOW - 1 words or more that a document shares with
 an item holds a whole run of k-grams, so both keep the same one in it: joining the
 kept fingerprints finds every such span. Each hit names a diagonal (document
-position minus item position), along which it is extended and checked word by word.
+position minus item position), along which it is extended and checked word by word;
+the diagonals of a document and an item are one row, so its words are read once.
 Items shorter than a span are matched whole, by the hash of all their words.
 """
 
@@ -73,8 +74,8 @@ def hit_windows(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFram
     )
     diagonals = (
         doc_prints.join(item_prints, ["size", "hash"])
-        .select("doc_id", "key", "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift"))
-        .distinct()
+        .groupBy("doc_id", "key", "item_id", "item_key")
+        .agg(F.collect_set(F.col("pos") - F.col("item_pos")).alias("shifts"))
     )
     same_doc = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.key") == F.col("g.key"))
     same_item = F.col("i.item_id").eqNullSafe(F.col("g.item_id")) & (F.col("i.item_key") == F.col("g.item_key"))
@@ -82,13 +83,17 @@ def hit_windows(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFram
         diagonals.alias("g")
         .join(docs.alias("d"), same_doc)
         .join(items.alias("i"), same_item)
-        .select("g.doc_id", "g.key", "g.item_id", "g.shift", F.col("i.words").alias("item"), alnum_words(lowered(F.col("d.text"))).alias("words"))
+        .select("g.doc_id", "g.key", "g.item_id", "g.shifts", F.col("i.words").alias("item"), alnum_words(lowered(F.col("d.text"))).alias("words"))
     )
     size = F.least(F.lit(span), F.size("item"))
-    first = F.greatest(F.col("shift"), F.lit(0))
-    last = F.least(F.size("words"), F.size("item") + F.col("shift")) - size
-    equal = lambda at: F.slice("words", at + 1, size) == F.slice("item", at - F.col("shift") + 1, size)
-    starts = F.when(last >= first, F.filter(F.sequence(first, last), equal))
+
+    def along(shift: Column) -> Column:
+        first = F.greatest(shift, F.lit(0))
+        last = F.least(F.size("words"), F.size("item") + shift) - size
+        equal = lambda at: F.slice("words", at + 1, size) == F.slice("item", at - shift + 1, size)
+        return F.when(last >= first, F.filter(F.sequence(first, last), equal)).otherwise(F.array().cast("array<int>"))
+
+    starts = F.array_distinct(F.flatten(F.transform("shifts", along)))
     return lined.select("doc_id", "key", "item_id", size.alias("size"), F.explode(starts).alias("start")).distinct()
 
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from pressgauge.llm import license_join, splitters, winnow
 from pressgauge.llm.queries import ORACLE, REGISTRY
@@ -99,3 +100,15 @@ def test_texts_of_less_than_a_twentieth_of_a_shard_stay_whole(spark):
     assert max(sizes) - min(sizes) <= 0.1 * sum(sizes) / 8
     for s in range(8):
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
+
+
+def test_short_items_in_repeating_documents(spark):
+    text = "a " * 6000 + "b"
+    docs = spark.createDataFrame([(1, text), (1, text), (2, "c " * 5000), (3, "a b " * 3000)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([("x", "a"), ("y", "a b"), ("z", "a " * 12)], "item_id string, text string")
+    hits = winnow.hit_windows(docs.select("doc_id", "text", F.crc32("text").alias("key")), winnow._items(benchmark))
+    assert hits.groupBy("doc_id", "item_id").count().collect() and hits.where("doc_id = 1").groupBy("item_id").count().where("item_id = 'x'").first()["count"] == 6000
+    rows = sorted(tuple(r)[:4] for r in winnow.decontaminate(docs, benchmark).collect())
+    assert rows == [(1, 6001, 6001, 3), (1, 6001, 6001, 3), (2, 5000, 0, 0), (3, 6000, 6000, 2)]
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" in plan  # one row for a document and an item
