@@ -181,27 +181,109 @@ def _dot(x: str, y: str) -> Column:
     return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
 
 
-def similar_vectors(vectors: DataFrame, least: float, tables: int = 20, bits: int = 10, most: int = 64, hubs: int = 3, seed: int = 7) -> DataFrame:
-    """a, b: verified links of cosine ``least`` or more between the vectors of a written table of id and vector."""
+def _normed(vectors: DataFrame) -> DataFrame:
+    """The vectors that have a direction, with their norm."""
+    return vectors.select("id", "vector", F.sqrt(_dot("vector", "vector")).alias("norm")).where("norm > 0")
+
+
+def bucket_links(rows: DataFrame, vectors: DataFrame, least: float, forest: bool = False) -> DataFrame:
+    """a, b: verified links between the members of each small ``bucket`` (bucket, id); a < b, repeated over buckets.
+
+    A vector goes once to each of its buckets and meets the others there, so what is
+    shuffled grows with the members and not with their pairs. ``forest`` gives only so
+    many of the links as hold together what all of them do, at most one a member.
+    Matrix products decide what is not within rounding of the limit, sums in the
+    order of the dimensions decide the rest.
+    """
+    placed = rows.join(_normed(vectors), "id").select("bucket", "id", "norm", "vector").repartition("bucket").sortWithinPartitions("bucket")
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def links(v, norm):
+            """Which members are linked, as a matrix."""
+            product, scale = v @ v.T, np.outer(norm, norm)
+            sure = product >= scale * (least + 1e-9)
+            i, j = np.nonzero(np.triu(~sure & ~(product < scale * (least - 1e-9)), 1))
+            if len(i):
+                # as in Spark, a sum that is no number is above every limit
+                sure[i, j] = sure[j, i] = ~(np.cumsum(v[i] * v[j], axis=1)[:, -1] < scale[i, j] * least)
+            np.fill_diagonal(sure, False)
+            return sure
+
+        def tree(linked):
+            """Pairs of a spanning forest."""
+            left, parent, child = linked.any(axis=0), [], []
+            while left.any():
+                front = np.array([left.argmax()])
+                left[front] = False
+                while len(front):
+                    seen = linked[front] & left
+                    new = np.flatnonzero(seen.any(axis=0))
+                    parent.append(front[seen[:, new].argmax(axis=0)])
+                    child.append(new)
+                    left[new] = False
+                    front = new
+            return (np.concatenate(parent), np.concatenate(child)) if parent else (np.zeros(0, int),) * 2
+
+        def met(table):
+            ids, norm = table.column(1).to_numpy(), table.column(2).to_numpy()
+            bucket = table.column(0).to_numpy()
+            values = table.column(3).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+            edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(ids)]
+            found = []
+            with np.errstate(all="ignore"):
+                for x, y in zip(edges, edges[1:]):
+                    linked = links(values[x:y], norm[x:y])
+                    i, j = tree(linked) if forest else np.nonzero(np.triu(linked, 1))
+                    found.append((ids[i + x], ids[j + x]))
+            one, two = (np.concatenate(side) for side in zip(*found))
+            apart = one != two
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)[apart]), pa.array(np.maximum(one, two)[apart])], names=["a", "b"])
+
+        held = None  # the last bucket of a batch may go on in the next
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            if table.num_rows:
+                bucket = table.column(0).to_numpy()
+                whole = int(np.searchsorted(bucket, bucket[-1]))
+                held = table.slice(whole)
+                if whole:
+                    yield met(table.slice(0, whole))
+        if held is not None and held.num_rows:
+            yield met(held)
+
+    return placed.mapInArrow(run, "a long, b long")
+
+
+def similar_vectors(
+    vectors: DataFrame, least: float, tables: int = 20, bits: int = 10, most: int = 64, hubs: int = 3, seed: int = 7, forest: bool = False
+) -> DataFrame:
+    """a, b: verified links of cosine ``least`` or more between the vectors of a written table of id and vector.
+
+    With ``forest`` a small bucket gives a spanning forest of its links, which holds the same vectors together.
+    """
     first = vectors.select(F.size("vector").alias("n")).first()
     if first is None:
         return vectors.select(F.col("id").alias("a"), F.col("id").alias("b"))
     small, hot = split_buckets(written(sketch_vectors(vectors, first["n"], tables, seed), "sketches"), bits, most)
-    x, y = small.alias("x"), small.alias("y")
-    listed = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    pairs = listed.unionByName(hub_pairs(hot.withColumn("n", F.lit(1)), hubs).select("a", "b")).distinct()
-    normed = vectors.withColumn("norm", F.sqrt(_dot("vector", "vector"))).where("norm > 0")
+    listed = bucket_links(small, vectors, least, forest)
+    pairs = hub_pairs(hot.withColumn("n", F.lit(1)), hubs).select("a", "b")
+    normed = _normed(vectors)
     both = pairs.join(normed.select(F.col("id").alias("b"), F.col("vector").alias("vb"), F.col("norm").alias("nb")), "b").join(
         normed.select(F.col("id").alias("a"), F.col("vector").alias("va"), F.col("norm").alias("na")), "a"
     )
-    return both.where(_dot("va", "vb") >= F.col("na") * F.col("nb") * F.lit(least)).select("a", "b")
+    far = both.where(_dot("va", "vb") >= F.col("na") * F.col("nb") * F.lit(least)).select("a", "b")
+    return listed.unionByName(far).distinct()
 
 
 def vector_clusters(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", least: float = 0.9, **how) -> DataFrame:
     """vector_hash, cluster_id for every distinct vector: the least key among the vectors that verified links hold together."""
     held = vectors.where(F.col(vector).isNotNull()).select(_vector_hash(vector).alias("vector_hash"), F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
     nodes = written(held.groupBy("vector_hash").agg(F.min("id").alias("id"), F.min_by("vector", "id").alias("vector")), "vectors")
-    parts = components(similar_vectors(nodes.select("id", "vector"), least, **how))
+    parts = components(similar_vectors(nodes.select("id", "vector"), least, forest=True, **how))
     return nodes.select("vector_hash", "id").join(parts, "id", "left").select("vector_hash", F.coalesce("part", "id").alias("cluster_id"))
 
 

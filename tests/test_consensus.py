@@ -125,3 +125,30 @@ def test_labels_carry_on_and_move_only_by_links(spark):
     both = graph.components(links((5, 6), (8, 9), (1, 2), (9, 7)))
     assert {k: v for k, v in table(second).items()} == table(both)
     assert table(graph.extend_components(second, links(), nodes())) == table(second)
+
+
+def test_vectors_meet_inside_their_buckets(spark, monkeypatch):
+    """Links equal brute force however batches cut the buckets; a cluster costs a link a member and table, not one a pair."""
+    rng = random.Random(5)
+    centre = [rng.gauss(0, 1) for _ in range(16)]
+    rows = [(i, [x + rng.gauss(0, 0.2) for x in centre]) for i in range(240)] + [(300, [0.0] * 16), (301, [2 * x for x in centre]), (302, [-x for x in centre])]
+    vectors = graph.written(spark.createDataFrame(rows, "id long, vector array<double>"), "v")
+    held = dict(rows)
+    cos = lambda a, b: sum(x * y for x, y in zip(held[a], held[b])) / math.dist(held[a], [0] * 16) / math.dist(held[b], [0] * 16)
+    buckets = [(b, i) for b in (7, -7) for i in held if i % 2 == (b > 0) or i < 20]
+    want = {(a, b) for k in (7, -7) for x, a in buckets if x == k for y, b in buckets if y == k and a < b and 300 not in (a, b) and cos(a, b) >= 0.95}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        placed = spark.createDataFrame(buckets, "bucket long, id long")
+        every = {tuple(r) for r in consensus.bucket_links(placed, vectors, 0.95).collect()}
+        few = [tuple(r) for r in consensus.bucket_links(placed, vectors, 0.95, forest=True).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert every == want and set(few) <= want and len(few) < len(buckets)
+    parts = lambda links: {r.id: r.part for r in graph.components(spark.createDataFrame(sorted(links), "a long, b long")).collect()}
+    assert parts(set(few)) == parts(want)
+
+    handed = []
+    monkeypatch.setattr(consensus, "components", lambda links: handed.append(links.count()) or graph.components(links))
+    consensus.vector_clusters(vectors.select(F.col("id").alias("vec_id"), F.col("vector").alias("embedding")), least=0.5, tables=4, bits=1).count()
+    assert handed[0] <= 4 * 242
