@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from pressgauge.operators.dedup import ORDER
 from pressgauge.plans import marts
@@ -48,51 +46,61 @@ def stream_status(events: DataFrame, queue: DataFrame, path: str, checkpoint: st
     return start(events, handle, checkpoint)
 
 
-TRANSITIONS = "content_hash string, step int, status string, error_message string, processed_at timestamp, rejected string"
+STUCK = "no response in time"
+TRANSITIONS = "content_hash string, step int, status string, error_message string, processed_micros long, rejected string"
 
 
-def status_machine(stuck_seconds: int) -> Callable:
+def status_machine(stuck_seconds: int) -> StatefulProcessor:
     """One item's life: pending, processing once claimed, then done or error; what breaks that order is rejected.
 
     An item that stays in ``processing`` for ``stuck_seconds`` of event time goes
     back to pending, so that it can be claimed again. A rejected signal moves nothing.
+    Rows go in and out as they are: a pandas frame an item would cost more than all else.
     """
-
-    def step(key, signals, state):
-        import pandas as pd
-
-        status, steps, due = state.get if state.exists else ("pending", 0, 0)
-        out = []
-
-        def move(target, error, at):
-            nonlocal status, steps
-            status, steps = target, steps + 1
-            out.append((steps, status, error, at, None))
-
-        def give_up():
-            move("pending", "no response in time", pd.Timestamp(due, unit="ms"))
-
-        if state.hasTimedOut:
-            give_up()
-        else:
-            rows = [r for part in signals for r in zip(part["at"], part["kind"], part["error_message"], strict=True)]
-            for at, kind, error in sorted(rows, key=lambda r: (r[0], r[1])):  # a claim comes before a response of the same moment
-                if status == "processing" and at.timestamp() * 1000 > due:
-                    give_up()  # the timer would have gone off in between, whatever batch the signal came with
-                error = error if isinstance(error, str) else None
+    Move = Row("content_hash", "step", "status", "error_message", "processed_micros", "rejected")
+
+    class Item(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.item = handle.getValueState("item", "status string, steps int, due long, timer long")
+
+        def handleInputRows(self, key, rows, timerValues):
+            status, steps, due, timer = self.item.get() or ("pending", 0, 0, None)
+            out = []
+
+            def move(target, error, micros):
+                nonlocal status, steps
+                status, steps = target, steps + 1
+                out.append(Move(key[0], steps, status, error, micros, None))
+
+            signals = sorted(((r.micros, r.kind, r.error_message) for r in rows), key=lambda r: r[:2])  # a claim comes before a response of the same moment
+            for micros, kind, error in signals:
+                if status == "processing" and micros > due * 1000:
+                    move("pending", STUCK, due * 1000)  # the timer would have gone off in between, whatever batch the signal came with
                 target = "processing" if kind == "claim" else "done" if error is None else "error"
                 if status == ("pending" if kind == "claim" else "processing"):
-                    move(target, error, at)
-                    due = int(at.timestamp() * 1000) + stuck_seconds * 1000
+                    move(target, error, micros)
+                    due = micros // 1000 + stuck_seconds * 1000
                 else:
-                    out.append((None, target, error, at, f"{kind} while {status}"))
-        state.update((status, steps, due))
-        if status == "processing":  # a call clears the timer
-            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-        columns = ("step", "status", "error_message", "processed_at", "rejected")
-        yield pd.DataFrame({"content_hash": [key[0]] * len(out), **{c: pd.Series(v, dtype="datetime64[ns]" if c == "processed_at" else object) for c, v in zip(columns, zip(*out, strict=True), strict=True)}})
+                    out.append(Move(key[0], None, target, error, micros, f"{kind} while {status}"))
+            wanted = max(due, timerValues.getCurrentWatermarkInMs() + 1) if status == "processing" else None
+            if wanted != timer:
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                if wanted is not None:
+                    self.handle.registerTimer(wanted)
+            self.item.update((status, steps, due, wanted))
+            yield from out
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            _, steps, due, _ = self.item.get()
+            self.item.update(("pending", steps + 1, due, None))
+            yield Move(key[0], steps + 1, "pending", STUCK, due * 1000, None)
+
+        def close(self) -> None:
+            pass
 
-    return step
+    return Item()
 
 
 def stream_transitions(claims: DataFrame, responses: DataFrame, path: str, checkpoint: str, stuck_seconds: int = 3600, late: str = "10 minutes") -> StreamingQuery:
@@ -105,8 +113,9 @@ def stream_transitions(claims: DataFrame, responses: DataFrame, path: str, check
     """
     good = parse_responses(responses).select("content_hash", "at", F.lit("response").alias("kind"), "error_message")
     claimed = claims.select("content_hash", "at", F.lit("claim").alias("kind"), F.lit(None).cast("string").alias("error_message"))
-    signals = claimed.unionByName(good).withWatermark("at", late)
-    moved = signals.groupBy("content_hash").applyInPandasWithState(status_machine(stuck_seconds), TRANSITIONS, "status string, steps int, due long", "append", "EventTimeTimeout")
+    signals = claimed.unionByName(good).withWatermark("at", late).withColumn("micros", F.unix_micros("at"))
+    moved = signals.groupBy("content_hash").transformWithState(status_machine(stuck_seconds), TRANSITIONS, "append", "EventTime")
+    moved = moved.select("content_hash", "step", "status", "error_message", F.timestamp_micros("processed_micros").alias("processed_at"), "rejected")
 
     def handle(batch: DataFrame, batch_id: int, query: str) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)  # narrow rows; else the state would be stepped twice

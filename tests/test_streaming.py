@@ -210,3 +210,25 @@ def test_streamed_scans_of_another_checkpoint_are_not_repeated(spark, tmp_path):
     jobs.stream_scans(_land(spark, [[("b", "v", body(2)), ("c", "v", body(3)), ("d", "v", "null")]], schema, tmp_path / "two"), out, str(tmp_path / "ck2")).awaitTermination()
     assert sorted(r.content_hash for r in spark.read.parquet(f"{out}/scans").collect()) == ["a", "b", "c"]
     assert sorted(r.scan_id for r in spark.read.parquet(f"{out}/tactics").collect()) == ["a", "b", "c"]
+
+
+def test_status_machine_takes_rows_and_holds_one_timer_an_item():
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+
+    timers, kept = [], []
+    item = SimpleNamespace(get=lambda: kept[-1] if kept else None, update=kept.append)
+    handle = SimpleNamespace(getValueState=lambda *_: item, registerTimer=timers.append, deleteTimer=timers.remove)
+    now = SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)
+    machine = jobs.status_machine(60)
+    machine.init(handle)
+    row = lambda second, kind, error=None: Row(micros=second * 1_000_000, kind=kind, error_message=error)
+    told = [tuple(r) for r in machine.handleInputRows(("a",), iter([row(0, "claim")]), now)]
+    assert told == [("a", 1, "processing", None, 0, None)] and timers == [60_000]
+    told = [tuple(r) for r in machine.handleInputRows(("a",), iter([row(100, "response", "bad"), row(100, "claim")]), now)]
+    assert told == [("a", 2, "pending", "no response in time", 60_000_000, None), ("a", 3, "processing", None, 100_000_000, None), ("a", 4, "error", "bad", 100_000_000, None)]
+    assert timers == []
+    kept[:] = [("processing", 1, 5, 5)]
+    assert [tuple(r) for r in machine.handleExpiredTimer(("a",), now, None)] == [("a", 2, "pending", "no response in time", 5000, None)]
+    assert kept[-1] == ("pending", 2, 5, None)
