@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressgauge.operators.graph import written
+
 #: A phrase is entered under its first words, this many or all it has.
 FIRST = 3
 
@@ -25,29 +27,32 @@ def cue_rates(docs: DataFrame, lexicon: DataFrame, key: str = "doc_id", text: st
     """Occurrences of a pattern's cues per document, and per 1,000 of its words; overlapping ones all count.
 
     Runs of one to ``FIRST`` words are looked up by hash; a run that opens a longer
-    cue is checked word by word against the text, which is fetched once per
-    document that has any. The number of cues is in no expression: a lexicon
-    of any size is a table in a join.
+    cue is checked word by word against the text. Texts are cut into words once, and
+    only those that hold such a run are fetched for the check. The number of cues is
+    in no expression: a lexicon of any size is a table in a join.
     """
     words = F.split("cue", " ")
     index = lexicon.select("pattern_id", words.alias("cue_words")).withColumn("n", F.least(F.size("cue_words"), F.lit(FIRST)))
-    index = index.withColumn("opening", F.xxhash64("n", F.array_join(F.slice("cue_words", 1, F.lit(FIRST)), " ")))
+    # a hash passes over the nulls behind the last word
+    index = index.withColumn("opening", F.xxhash64("n", *(F.get("cue_words", F.lit(k)) for k in range(FIRST))))
     held = docs.select(F.col(key).alias("doc_id"), cue_words(F.col(text)).alias("w"))
+    held = written(held.select("doc_id", "w", F.size("w").alias("words")), "words")
 
     def openings(w: Column) -> Column:
         at = lambda n: F.transform(
-            F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(n), F.array_join(F.slice(w, i, n), " ")).alias("opening"))
+            F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(n), *(F.get(w, i + (k - 1)) for k in range(n))).alias("opening"))
         )
         none = F.array().cast("array<struct<pos:int,opening:bigint>>")
         return F.concat(*(F.when(F.size(w) >= n, at(n)).otherwise(none) for n in range(1, FIRST + 1)))
 
-    wanted = index.select("opening").distinct()
-    places = held.select("doc_id", F.inline(F.transform(F.array("w"), openings)[0])).join(wanted, "opening", "left_semi")
-    by_doc = places.join(index.select("opening", "pattern_id", "cue_words"), "opening").select("doc_id", "pos", "pattern_id", "cue_words")
-    short = by_doc.where(F.size("cue_words") <= FIRST).select("doc_id", "pattern_id")
-    long = by_doc.where(F.size("cue_words") > FIRST).join(held, "doc_id")
+    places = held.select("doc_id", F.inline(openings(F.col("w"))))
+    rest = F.when(F.size("cue_words") > FIRST, F.col("cue_words")).alias("cue_words")
+    by_doc = written(places.join(index, "opening").select("doc_id", "pos", "pattern_id", rest), "openings")
+    short = by_doc.where("cue_words is null").select("doc_id", "pattern_id")
+    long = written(by_doc.where("cue_words is not null"), "long-openings")
+    asked = written(long.select("doc_id").distinct(), "asked")
+    long = long.join(held.join(asked, "doc_id", "left_semi"), "doc_id")
     long = long.where(F.slice("w", F.col("pos"), F.size("cue_words")) == F.col("cue_words")).select("doc_id", "pattern_id")
     hits = short.unionByName(long).groupBy("doc_id", "pattern_id").agg(F.count("*").alias("hits"))
-    sizes = held.select("doc_id", F.size("w").alias("words"))
     rate = F.round(F.col("hits") * 1000 / F.col("words"), 6)
-    return hits.join(sizes, "doc_id").select("doc_id", "pattern_id", "hits", rate.alias("per_1000"))
+    return hits.join(held.select("doc_id", "words"), "doc_id").select("doc_id", "pattern_id", "hits", rate.alias("per_1000"))

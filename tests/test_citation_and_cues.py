@@ -75,3 +75,13 @@ def test_cues_of_any_length(spark):
     got = {(r.doc_id, r.pattern_id): (r.hits, r.per_1000) for r in cues.cue_rates(docs, lexicon).collect()}
     assert got == {k: (n, round(n * 1000 / words, 6)) for k, (n, words) in want.items()}
     assert got[1, "M1"][0] == 4 and (6, "M1") not in got
+
+
+def test_texts_are_cut_into_words_once(spark):
+    """What is returned reads words that lie on disk: no branch of it cuts or ships whole texts again."""
+    docs = spark.createDataFrame([(1, "to be or not to be, or so"), (2, None), (3, "be or not to"), (3, "so")], "doc_id long, text string")
+    lexicon = spark.createDataFrame([("p", "or not to be"), ("p", "be"), ("q", "so")], "pattern_id string, cue string")
+    rates = cues.cue_rates(docs, lexicon)
+    assert "regexp_replace" not in rates._jdf.queryExecution().toString()
+    got = sorted((r.doc_id, r.pattern_id, r.hits) for r in rates.collect())
+    assert got == [(1, "p", 3), (1, "q", 1), (3, "p", 1), (3, "p", 1), (3, "q", 1), (3, "q", 1)]
