@@ -171,3 +171,13 @@ def test_history_is_neither_shuffled_nor_aggregated(spark, tmp_path):
             spark.sql(f"drop table if exists {n}")
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_the_files_of_a_queue_follow_its_days(spark, tmp_path):
+    from pressgauge.sinks import tables as sinks
+
+    rows = spark.sql("select id, timestamp '2024-01-01 00:00:00' + make_dt_interval(cast(id % 12 as int)) as fetched_at from range(0, 1200, 1, 8) union all select -1, null")
+    sinks.append_candidates(rows, str(tmp_path), "r1")
+    days = [p for p in (tmp_path / "run=r1").iterdir() if p.name.startswith("queued_on=")]
+    assert len(days) == 13 and sum(len(list(p.glob("*.parquet"))) for p in days) <= 2 * 13
+    assert spark.read.parquet(str(tmp_path)).count() == 1201
