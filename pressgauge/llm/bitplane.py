@@ -18,6 +18,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,8 @@ class _Encoder:
     """
 
     CUT = re.compile(r"(?<=\S) ")
-    GAPS = [c + " " for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"]
+    GAPS = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]  # U+3000 is the last white space
+    ASCII_GAPS = [gap for gap in GAPS if gap.isascii()]
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -56,7 +58,10 @@ class _Encoder:
         self.marks = dict(zip(".,;:!?", self._encode(list(".,;:!?")), strict=True))
 
     def cut(self, text: str) -> list[str]:
-        if text.isascii() and not any(gap in text for gap in self.GAPS):
+        for gap in self.ASCII_GAPS if text.isascii() else self.GAPS:
+            if gap in text:
+                break
+        else:
             return text.split(" ")  # every space follows a character that is no white space
         return self.CUT.split(text)
 
@@ -69,7 +74,7 @@ class _Encoder:
         cut = [self.cut(text) for text in texts]
         heads = self._encode([pieces[0] for pieces in cut])
         known = self.known
-        found = [[known.get(p) for p in pieces[1:]] for pieces in cut]
+        found = [list(map(known.get, islice(pieces, 1, None))) for pieces in cut]
         lacking = [i for i, ids in enumerate(found) if None in ids]
         fresh = {p for i in lacking for p, ids in zip(cut[i][1:], found[i], strict=True) if ids is None}
         # a mark after letters is a pre-token of its own

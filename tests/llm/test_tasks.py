@@ -373,3 +373,14 @@ def test_main_text_is_linear_in_the_depth_of_open_tags():
 
     for part in ("</b>", "<p>a", "<li>a</li>", "<td>a</td>"):
         assert seconds(40_000, part) < 12 * max(seconds(10_000, part), 0.05)
+
+
+def test_texts_with_letters_beyond_ascii_are_cut_without_a_pattern():
+    from pressgauge.llm.bitplane import _Encoder
+
+    plain, by_pattern = object.__new__(_Encoder), _Encoder.CUT.split
+    plain.CUT = None
+    assert plain.cut("déjà vu à l'été") == ["déjà", "vu", "à", "l'été"]
+    exact = object.__new__(_Encoder)
+    for text in ("é\xa0 x y", "é  x", "\x85 é", "é　 b c", "ß\t c d "):  # white space before a space: no cut there
+        assert exact.cut(text) == by_pattern(text) != text.split(" ")
