@@ -16,6 +16,8 @@ from pressgauge.operators.graph import components, written
 SHINGLE, SIMILAR = 5, 0.8
 #: 64 bins of one permutation in 21 bands of 3: two texts of similarity 0.8 share no band once in a million times.
 BINS, ROWS = 64, 3
+#: Longs of a set's bitmap.
+PARITY = 16
 
 
 def shingle_set(text: Column, size: int = SHINGLE) -> Column:
@@ -24,27 +26,29 @@ def shingle_set(text: Column, size: int = SHINGLE) -> Column:
 
     def runs(w: Column) -> Column:
         long = F.transform(F.slice(w, 1, F.greatest(F.size(w) - (size - 1), F.lit(0))), lambda _, i: F.xxhash64(*(F.get(w, i + k) for k in range(size))))
-        return F.when(F.size(w) >= size, long).when(F.size(w) > 0, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(F.array().cast("array<bigint>"))
+        return F.when(F.size(w).between(1, size - 1), F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(long)
 
-    # a one-element array binds the words once instead of splitting the text for every position
-    return F.array_sort(F.array_distinct(F.transform(F.array(words), runs)[0]))
+    # a one-element array binds the words once instead of splitting the text for every position; no element is ever
+    # null, so sort_array sorts plain longs, where array_sort asks a comparison function for every pair
+    return F.sort_array(F.array_distinct(F.transform(F.array(words), runs)[0]))
 
 
 def bands(grams: Column, bins: int = BINS, rows: int = ROWS) -> Column:
-    """One-permutation MinHash: each bin's least hash, an empty bin borrowing the next one's, hashed in bands."""
+    """One-permutation MinHash, null for an empty set: each bin's least hash, an empty bin borrowing the next one's, hashed in bands."""
     shift = 64 - (bins.bit_length() - 1)
-    bin_of = lambda x: F.shiftright(x, shift)
+    bin_of = lambda x: F.shiftright(x, shift).cast("int")
 
-    def banded(firsts: Column) -> Column:
-        value = lambda b: F.coalesce(F.get(F.filter(firsts, lambda f: bin_of(f) >= b), F.lit(0)), F.get(firsts, F.lit(0)))
-        signature = F.transform(F.sequence(F.lit(-bins // 2), F.lit(bins // 2 - 1)), value)
-        hashed = lambda s: F.transform(
-            F.sequence(F.lit(0), F.lit(bins // rows - 1)), lambda j: F.xxhash64(j, *(F.get(s, j * rows + k) for k in range(rows)))
-        )
-        return F.transform(F.array(signature), hashed)[0]
+    def signed(firsts: Column) -> Column:
+        # a hash stands for its own bin and the empty ones before it, the first also for those after the last
+        before = lambda i: F.when(i == 0, -bins // 2 - 1).otherwise(bin_of(F.get(firsts, i - 1)))
+        own = F.flatten(F.transform(firsts, lambda f, i: F.array_repeat(f, bin_of(f) - before(i))))
+        return F.concat(own, F.array_repeat(F.get(firsts, F.lit(0)), bins // 2 - 1 - bin_of(F.get(firsts, F.size(firsts) - 1))))
+
+    def banded(signature: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(bins // rows - 1)), lambda j: F.xxhash64(j, *(F.get(signature, j * rows + k) for k in range(rows))))
 
     firsts = F.filter(grams, lambda x, i: (i == 0) | (bin_of(x) != bin_of(F.get(grams, i - 1))))
-    return F.transform(F.array(firsts), banded)[0]
+    return F.when(F.size(grams) > 0, F.transform(F.transform(F.array(firsts), signed), banded)[0])
 
 
 def hub_pairs(rows: DataFrame, hubs: int) -> DataFrame:
@@ -62,12 +66,57 @@ def hub_pairs(rows: DataFrame, hubs: int) -> DataFrame:
     return both.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct()
 
 
-def similar_texts(texts: DataFrame, least: float = SIMILAR, hubs: int = 3) -> DataFrame:
-    """a, b: verified links of similarity ``least`` or more between the texts of a table of id and text."""
-    sets = written(texts.select("id", shingle_set(F.col("text")).alias("grams")).where(F.size("grams") > 0), "shingles")
-    rows = sets.select("id", F.size("grams").alias("n"), F.explode(bands(F.col("grams"))).alias("bucket"))
-    pairs = hub_pairs(rows, hubs).where(F.least("na", "nb") >= F.greatest("na", "nb") * least)
-    pairs = written(pairs.select("a", "b"), "candidates")
+def text_sets(texts: DataFrame) -> DataFrame:
+    """A table with a text, written with the text's shingle set (grams, n of them) and the hashes of its bands (buckets) instead."""
+    sets = texts.withColumn("grams", shingle_set(F.col("text"))).drop("text")
+    return written(sets.select("*", F.size("grams").alias("n"), bands(F.col("grams")).alias("buckets")), "shingles")
+
+
+def parities(sets: DataFrame, longs: int = PARITY) -> DataFrame:
+    """id, n, marks: a bitmap of ``longs`` longs for each set (id, n, grams), whether the number of hashes that fall on a bit is odd.
+
+    A hash that one of two sets has alone changes one bit between their bitmaps, so
+    they differ in at least as many hashes as the bitmaps do in bits.
+    """
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        bits = 64 * longs
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                grams = part.column(2)
+                hashes = grams.flatten().to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(len(grams)), grams.value_lengths().to_numpy(zero_copy_only=False))
+                odd = np.bincount(row * bits + (hashes & (bits - 1)), minlength=len(grams) * bits) & 1
+                marks = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(marks) + 1, longs, dtype=np.int32)), pa.array(marks))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], names=["id", "n", "marks"])
+
+    return sets.select("id", "n", "grams").mapInArrow(run, f"id {sets.schema['id'].dataType.simpleString()}, n int, marks array<long>")
+
+
+def _alike(common: Column, both: Column, least: float) -> Column:
+    """Whether sets with so many common hashes, and so many in both sizes, are similar."""
+    return common >= (both - common) * F.lit(least)
+
+
+def similar_sets(sets: DataFrame, least: float = SIMILAR, hubs: int = 3) -> DataFrame:
+    """a, b: verified links of similarity ``least`` or more between the sets of a table from ``text_sets``.
+
+    Bitmaps rule out most pairs that only share a band, so few sets are fetched.
+    """
+    rows = sets.select("id", "n", F.explode("buckets").alias("bucket"))
+    pairs = written(hub_pairs(rows, hubs).where(F.least("na", "nb") >= F.greatest("na", "nb") * least).select("a", "b"), "pairs")
+    marks = written(parities(sets), "marks")
+    marked = pairs.join(marks.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("marks").alias("mb")), "b").join(
+        marks.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("marks").alias("ma")), "a"
+    )
+    apart = F.aggregate(F.zip_with("ma", "mb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, v: s + v)
+    n = F.col("na") + F.col("nb")
+    pairs = written(marked.where(_alike((n - apart) / 2, n, least)).select("a", "b").distinct(), "candidates")
     met = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     narrow = sets.join(met, "id", "left_semi")
     both = pairs.join(narrow.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b").join(
@@ -75,15 +124,20 @@ def similar_texts(texts: DataFrame, least: float = SIMILAR, hubs: int = 3) -> Da
     )
     common = F.size(F.array_intersect("ga", "gb"))
     counted = both.select("a", "b", common.alias("c"), (F.size("ga") + F.size("gb")).alias("n"))
-    return counted.where(F.col("c") >= (F.col("n") - F.col("c")) * F.lit(least)).select("a", "b")
+    return counted.where(_alike(F.col("c"), F.col("n"), least)).select("a", "b")
+
+
+def similar_texts(texts: DataFrame, least: float = SIMILAR, hubs: int = 3) -> DataFrame:
+    """a, b: verified links of similarity ``least`` or more between the texts of a table of id and text."""
+    return similar_sets(text_sets(texts.select("id", "text")), least, hubs)
 
 
 def text_clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILAR, hubs: int = 3) -> DataFrame:
     """text_hash, cluster_id for every distinct text: the least key among the texts that verified links hold together."""
     hashed = docs.select(F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("text_hash"), F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = written(hashed.groupBy("text_hash").agg(F.min_by("text", "id").alias("text"), F.min("id").alias("id")), "texts")
-    parts = components(similar_texts(texts.select("id", "text"), least, hubs))
-    return texts.select("text_hash", "id").join(parts, "id", "left").select("text_hash", F.coalesce("part", "id").alias("cluster_id"))
+    sets = text_sets(hashed.groupBy("text_hash").agg(F.min_by("text", "id").alias("text"), F.min("id").alias("id")))
+    parts = components(similar_sets(sets, least, hubs))
+    return sets.select("text_hash", "id").join(parts, "id", "left").select("text_hash", F.coalesce("part", "id").alias("cluster_id"))
 
 
 def sessions(sightings: DataFrame, group: str, source: str, ts: str, gap_seconds: int) -> DataFrame:

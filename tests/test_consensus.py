@@ -62,6 +62,51 @@ def test_a_large_family_costs_a_few_links_a_member(spark):
     assert {(r.id, r.part) for r in parts if r.id >= 600} == {(1002, 1002), (1003, 1002)}
 
 
+def test_sets_and_bands_are_worked_out_once(spark, monkeypatch):
+    plans = {}
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return graph.written(df, label)
+
+    monkeypatch.setattr(consensus, "written", seen)
+    rows = [(1, "one two three four five six"), (2, "one two three four five six"), (3, None), (4, " \n\x0b"), (5, "\u0085"), (6, "\u0085")]
+    links = consensus.similar_texts(spark.createDataFrame(rows, "id long, text string"))
+    assert sorted(map(tuple, links.collect())) == [(1, 2), (5, 6)]
+    assert plans["shingles"].count("split(") == 1 and "array_sort" not in plans["shingles"]
+    assert "lambda" not in plans["pairs"]
+
+
+def test_bitmaps_rule_out_pairs_before_their_sets_are_fetched(spark, monkeypatch):
+    rng = random.Random(8)
+    lists = {i: [f"w{rng.randrange(10**6)}" for _ in range(300)] for i in range(0, 60, 3)}
+    for i in list(lists):  # a near copy of each text, and one that has half its words
+        lists[i + 1], lists[i + 2] = lists[i][:290], lists[i][:150] + [f"v{rng.randrange(10**6)}" for _ in range(150)]
+    tables = {}
+    monkeypatch.setattr(consensus, "written", lambda df, label: tables.setdefault(label, graph.written(df, label)))
+    texts = [(i, " ".join(words)) for i, words in lists.items()]
+    links = consensus.similar_texts(spark.createDataFrame([*texts, (1000, ""), (1001, None)], "id long, text string"))
+    assert {tuple(r) for r in links.collect()} == {(i, i + 1) for i in range(0, 60, 3)}
+    assert tables["pairs"].count() > 30 and {tuple(r) for r in tables["candidates"].collect()} == {(i, i + 1) for i in range(0, 60, 3)}
+    held = {r.id: (set(r.grams), r.marks) for r in tables["shingles"].join(tables["marks"], "id").collect()}
+    apart = {i: sum((x ^ y).bit_count() if x ^ y >= 0 else ((x ^ y) % 2**64).bit_count() for x, y in zip(held[i][1], held[i + 2][1])) for i in range(0, 60, 3)}
+    assert all(0 < apart[i] <= len(held[i][0] ^ held[i + 2][0]) for i in apart)
+
+
+def test_bands_are_those_of_the_least_hashes(spark):
+    rng = random.Random(6)
+    low, high = -(2**63), 2**63 - 1
+    sets = [[low], [high], [-1], [0], [low, high], [-1, 0], *(sorted({rng.randrange(low, high) for _ in range(n)}) for n in (2, 5, 30, 64, 400))]
+
+    def signature(grams):
+        return [next((g for g in grams if g >> 58 >= b), grams[0]) for b in range(-32, 32)]
+
+    want = F.array(*(F.xxhash64(F.lit(j), *(F.get("signature", F.lit(3 * j + k)) for k in range(3))) for j in range(21)))
+    rows = spark.createDataFrame([(g, signature(g)) for g in sets], "grams array<long>, signature array<long>")
+    assert rows.select(consensus.bands(F.slice("grams", 1, 0)).alias("got")).where("got is not null").count() == 0
+    assert all(r.got == r.want for r in rows.select(consensus.bands(F.col("grams")).alias("got"), want.alias("want")).collect())
+
+
 def test_sessions_split_at_the_gap(spark):
     rows = [("a", "s1", 0), ("a", "s2", 100), ("a", "s1", 200), ("a", "s3", 301), ("a", None, 350), ("b", "s1", 5), ("b", "s1", 99), ("b", "s1", 199)]
     seen = spark.createDataFrame(rows, "grp string, source string, t int").select("grp", "source", F.timestamp_seconds("t").alias("ts"))
