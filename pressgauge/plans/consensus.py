@@ -1,8 +1,10 @@
 """Many voices that say one thing: near-identical texts in a tight window, and near-identical embeddings.
 
 Definitions and thresholds are this package's own. Candidates come from hashed
-bands; every link is verified exactly. Work is bounded per member, not per pair: a
-member of a bucket is compared with a few hubs of that bucket, never with all.
+bands; every link is verified exactly. Members of a bucket are first compared with a
+few hubs of it. Where that leaves a bucket in several parts, all pairs of members of
+different parts are compared as well, so no pair of a bucket is left out; pairs that
+links hold together already are spared, so a family of copies costs work a member.
 """
 
 from __future__ import annotations
@@ -18,6 +20,10 @@ SHINGLE, SIMILAR = 5, 0.8
 BINS, ROWS = 64, 3
 #: Longs of a set's bitmap.
 PARITY = 16
+#: Partners a member names in the passes over its buckets; the last pass names all that are left.
+PASSES = (4, 64, None)
+#: Members of a block of a bucket's sets, or vectors; blocks meet in pairs.
+SETS, VECTORS = 4096, 512
 
 
 def shingle_set(text: Column, size: int = SHINGLE) -> Column:
@@ -51,21 +57,45 @@ def bands(grams: Column, bins: int = BINS, rows: int = ROWS) -> Column:
     return F.when(F.size(grams) > 0, F.transform(F.transform(F.array(firsts), signed), banded)[0])
 
 
-def hub_pairs(rows: DataFrame, hubs: int) -> DataFrame:
-    """Distinct (a, b, na, nb), a < b: members of a ``bucket`` beside its first ``hubs`` members (id, n) in hash order.
+def beside_hubs(rows: DataFrame, hubs: int) -> DataFrame:
+    """The rows (bucket, id, n) of buckets of two or more, written with the bucket's first ``hubs`` members (id, n) in hash order.
 
-    The rank limit is applied before the exchange, and the hub side has a few rows
-    a bucket, so a hot bucket is a one-sided skew. The order is the same in every
+    The rank limit is applied before the exchange, and the hub side has one row a
+    bucket, so a hot bucket is a one-sided skew. The order is the same in every
     bucket, so a family of copies has the same hubs throughout.
     """
+    rows = rows.where("id is not null")
     chosen = top_k(rows, ["bucket"], [F.xxhash64("id"), F.col("id")], hubs)
-    hub = chosen.select("bucket", F.col("id").alias("hub"), F.col("n").alias("hub_n"))
-    met = rows.join(hub, "bucket").where("id <> hub")
-    low, high = F.struct(F.col("id"), F.col("n")), F.struct(F.col("hub").alias("id"), F.col("hub_n").alias("n"))
-    both = met.select(F.least(low, high).alias("x"), F.greatest(low, high).alias("y"))
+    hub = chosen.groupBy("bucket").agg(F.collect_list(F.struct("id", "n")).alias("hubs")).where("size(hubs) > 1")
+    return written(rows.join(hub, "bucket"), "met")
+
+
+def hub_pairs(met: DataFrame) -> DataFrame:
+    """Distinct (a, b, na, nb), a < b: members of a ``bucket`` beside its hubs. The pairs without a hub are for ``beyond_hubs``."""
+    each = met.select("id", "n", F.explode("hubs").alias("hub")).where("id <> hub.id")
+    low = F.struct(F.col("id"), F.col("n"))
+    both = each.select(F.least(low, F.col("hub")).alias("x"), F.greatest(low, F.col("hub")).alias("y"))
     return both.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct()
 
 
+def beyond_hubs(met: DataFrame, parts: DataFrame, block: int) -> DataFrame:
+    """cell, side, id, n, part: the members that are no hubs, of buckets whose links (id, part) leave them in several parts.
+
+    A bucket is dealt into blocks of about ``block`` members, and a cell is where two
+    blocks (sides 0 and 1) or a block and itself (side 2) meet, so every two members
+    of a bucket are together in a cell, and a hot bucket goes to many tasks.
+    """
+    rest = met.where(~F.array_contains("hubs.id", F.col("id"))).select("bucket", "id", "n")
+    labelled = rest.join(parts, "id", "left").select("bucket", "id", "n", F.coalesce("part", "id").alias("part"))
+    sizes = labelled.groupBy("bucket").agg(F.count("*").alias("size"), F.min("part").alias("one"), F.max("part").alias("other"))
+    dealt = sizes.where("one <> other").select("bucket", F.ceil(F.col("size") / block).alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    placed = labelled.join(dealt, "bucket").select("*", own.alias("own")).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with"))
+    cell = F.xxhash64("bucket", F.least("own", "with"), F.greatest("own", "with"))
+    side = F.when(F.col("own") == F.col("with"), 2).otherwise((F.col("own") > F.col("with")).cast("int"))
+    return placed.select(cell.alias("cell"), side.alias("side"), "id", "n", "part")
+
+
 def text_sets(texts: DataFrame) -> DataFrame:
     """A table with a text, written with the text's shingle set (grams, n of them) and the hashes of its bands (buckets) instead."""
     sets = texts.withColumn("grams", shingle_set(F.col("text"))).drop("text")
@@ -103,20 +133,8 @@ def _alike(common: Column, both: Column, least: float) -> Column:
     return common >= (both - common) * F.lit(least)
 
 
-def similar_sets(sets: DataFrame, least: float = SIMILAR, hubs: int = 3) -> DataFrame:
-    """a, b: verified links of similarity ``least`` or more between the sets of a table from ``text_sets``.
-
-    Bitmaps rule out most pairs that only share a band, so few sets are fetched.
-    """
-    rows = sets.select("id", "n", F.explode("buckets").alias("bucket"))
-    pairs = written(hub_pairs(rows, hubs).where(F.least("na", "nb") >= F.greatest("na", "nb") * least).select("a", "b"), "pairs")
-    marks = written(parities(sets), "marks")
-    marked = pairs.join(marks.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("marks").alias("mb")), "b").join(
-        marks.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("marks").alias("ma")), "a"
-    )
-    apart = F.aggregate(F.zip_with("ma", "mb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, v: s + v)
-    n = F.col("na") + F.col("nb")
-    pairs = written(marked.where(_alike((n - apart) / 2, n, least)).select("a", "b").distinct(), "candidates")
+def alike_sets(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of a written table whose sets are similar; only the sets that have a pair are fetched."""
     met = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     narrow = sets.join(met, "id", "left_semi")
     both = pairs.join(narrow.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b").join(
@@ -127,6 +145,114 @@ def similar_sets(sets: DataFrame, least: float = SIMILAR, hubs: int = 3) -> Data
     return counted.where(_alike(F.col("c"), F.col("n"), least)).select("a", "b")
 
 
+def cell_pairs(placed: DataFrame, least: float, most: int | None) -> DataFrame:
+    """a, b: the pairs of a ``cell`` in different parts that sizes and bitmaps do not rule out, repeated over cells.
+
+    ``placed`` has cell, side, id, n, part and marks. With ``most`` only the first so many of a member, and of its
+    partners, are named; a row of nulls then tells that there are more.
+    """
+    placed = placed.select("cell", "side", "id", "n", "part", "marks").repartition("cell").sortWithinPartitions("cell", "side", F.xxhash64("id"), "id")
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def near(part, n, marks, ones, others, same):
+            """Pairs of members that may be linked, as positions, and whether there are more."""
+            found, more, named, width = [], False, np.zeros(len(others), int), max(1, (1 << 17) // len(others))
+            for at in range(0, len(ones), width):
+                some = ones[at : at + width]
+                small, large = np.minimum(n[some][:, None], n[others]), np.maximum(n[some][:, None], n[others])
+                ok = (part[some][:, None] != part[others]) & (small >= large * least)
+                if same:
+                    ok &= some[:, None] < others
+                i, j = np.nonzero(ok)
+                x, y = some[i], others[j]
+                both = n[x] + n[y]
+                # the limit is that of _alike
+                common = (both - np.bitwise_count(marks[x] ^ marks[y]).sum(axis=1, dtype=np.int64)) / 2
+                ok[i, j] = common >= (both - common) * least
+                if most is not None:
+                    first = (np.cumsum(ok, axis=1) <= most) | (named + np.cumsum(ok, axis=0) <= most)
+                    named += ok.sum(axis=0)
+                    more |= bool((ok & ~first).any())
+                    ok &= first
+                i, j = np.nonzero(ok)
+                found.append((some[i], others[j]))
+            return found, more
+
+        def met(table):
+            cell, side, n = (table.column(k).to_numpy() for k in (0, 1, 3))
+            ids, part = table.column(2).combine_chunks(), table.column(4).combine_chunks().dictionary_encode().indices.to_numpy()
+            # of a signed number bitwise_count would take the absolute value
+            marks = table.column(5).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(cell), -1)
+            n, found, more = n.astype(np.int64), [], False
+            edges = [0, *(np.flatnonzero((np.diff(cell) != 0) | (np.diff(side) != 0)) + 1).tolist(), len(cell)]
+            for k, (x, y) in enumerate(zip(edges, edges[1:])):
+                ones = others = np.arange(x, y)
+                if side[x] == 0:  # the other block comes next, if it has members
+                    others = np.arange(y, edges[k + 2]) if y < len(cell) and cell[y] == cell[x] and side[y] == 1 else ones[:0]
+                if side[x] != 1 and len(others):
+                    pairs, cut = near(part, n, marks, ones, others, side[x] == 2)
+                    found, more = found + pairs, more or cut
+            a, b = (np.concatenate([f[k] for f in found] or [np.zeros(0, int)]) for k in (0, 1))
+            gap = pa.nulls(int(more), ids.type)
+            return pa.RecordBatch.from_arrays([pa.concat_arrays([ids.take(pa.array(x)), gap]) for x in (a, b)], names=["a", "b"])
+
+        held = None  # the last cell of a batch may go on in the next
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            if table.num_rows:
+                cell = table.column(0).to_numpy()
+                whole = int(np.searchsorted(cell, cell[-1]))
+                held = table.slice(whole)
+                if whole:
+                    yield met(table.slice(0, whole))
+        if held is not None and held.num_rows:
+            yield met(held)
+
+    kind = placed.schema["id"].dataType.simpleString()
+    return placed.mapInArrow(run, f"a {kind}, b {kind}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def linked_sets(sets: DataFrame, least: float = SIMILAR, hubs: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(a, b: verified links between the sets of a table from ``text_sets``; id, part: what they hold together).
+
+    Of two sets that share a bucket and are similar by ``least`` or more, the link is
+    listed or both are in one part already. Bitmaps rule out most pairs that only
+    share a band, so few sets are fetched.
+    """
+    met = beside_hubs(sets.select("id", "n", F.explode("buckets").alias("bucket")), hubs)
+    pairs = written(hub_pairs(met).where(F.least("na", "nb") >= F.greatest("na", "nb") * least).select("a", "b"), "pairs")
+    marks = written(parities(sets), "marks")
+    marked = pairs.join(marks.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("marks").alias("mb")), "b").join(
+        marks.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("marks").alias("ma")), "a"
+    )
+    apart = F.aggregate(F.zip_with("ma", "mb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, v: s + v)
+    n = F.col("na") + F.col("nb")
+    tried = written(marked.where(_alike((n - apart) / 2, n, least)).select("a", "b").distinct(), "candidates")
+    links = written(alike_sets(sets, tried, least), "alike")
+    parts = components(links)
+    for k, most in enumerate(PASSES):
+        cells = beyond_hubs(met, parts, SETS).join(marks.select("id", "marks"), "id")
+        named = written(cell_pairs(cells, least, most).distinct(), f"named{k}")
+        fresh = written(named.where("a is not null").join(tried, ["a", "b"], "left_anti"), f"fresh{k}")
+        more = written(alike_sets(sets, fresh, least), f"alike{k}")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            parts = components(links)
+        if named.where("a is null").isEmpty():
+            break
+        tried = tried.unionByName(fresh)
+    return links, parts
+
+
+def similar_sets(sets: DataFrame, least: float = SIMILAR, hubs: int = 3) -> DataFrame:
+    """a, b: verified links of similarity ``least`` or more, which hold together what all links of the buckets do."""
+    return linked_sets(sets, least, hubs)[0]
+
+
 def similar_texts(texts: DataFrame, least: float = SIMILAR, hubs: int = 3) -> DataFrame:
     """a, b: verified links of similarity ``least`` or more between the texts of a table of id and text."""
     return similar_sets(text_sets(texts.select("id", "text")), least, hubs)
@@ -136,7 +262,7 @@ def text_clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", leas
     """text_hash, cluster_id for every distinct text: the least key among the texts that verified links hold together."""
     hashed = docs.select(F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("text_hash"), F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     sets = text_sets(hashed.groupBy("text_hash").agg(F.min_by("text", "id").alias("text"), F.min("id").alias("id")))
-    parts = components(similar_sets(sets, least, hubs))
+    parts = linked_sets(sets, least, hubs)[1]
     return sets.select("text_hash", "id").join(parts, "id", "left").select("text_hash", F.coalesce("part", "id").alias("cluster_id"))
 
 
@@ -317,20 +443,26 @@ def similar_vectors(
 ) -> DataFrame:
     """a, b: verified links of cosine ``least`` or more between the vectors of a written table of id and vector.
 
-    With ``forest`` a small bucket gives a spanning forest of its links, which holds the same vectors together.
+    With ``forest`` a small bucket gives a spanning forest of its links, which holds the same vectors together. Of
+    buckets that all 64 signs leave larger, members are linked to hubs, and where that leaves a bucket in several
+    parts, its blocks give a spanning forest each.
     """
     first = vectors.select(F.size("vector").alias("n")).first()
     if first is None:
         return vectors.select(F.col("id").alias("a"), F.col("id").alias("b"))
     small, hot = split_buckets(written(sketch_vectors(vectors, first["n"], tables, seed), "sketches"), bits, most)
     listed = bucket_links(small, vectors, least, forest)
-    pairs = hub_pairs(hot.withColumn("n", F.lit(1)), hubs).select("a", "b")
+    if hot.isEmpty():
+        return listed.distinct()
+    met = beside_hubs(hot.withColumn("n", F.lit(1)), hubs)
+    pairs = hub_pairs(met).select("a", "b")
     normed = _normed(vectors)
     both = pairs.join(normed.select(F.col("id").alias("b"), F.col("vector").alias("vb"), F.col("norm").alias("nb")), "b").join(
         normed.select(F.col("id").alias("a"), F.col("vector").alias("va"), F.col("norm").alias("na")), "a"
     )
-    far = both.where(_dot("va", "vb") >= F.col("na") * F.col("nb") * F.lit(least)).select("a", "b")
-    return listed.unionByName(far).distinct()
+    far = written(both.where(_dot("va", "vb") >= F.col("na") * F.col("nb") * F.lit(least)).select("a", "b"), "far")
+    cells = beyond_hubs(met, components(far), VECTORS).select(F.col("cell").alias("bucket"), "id")
+    return listed.unionByName(far).unionByName(bucket_links(cells, vectors, least, forest=True)).distinct()
 
 
 def vector_clusters(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", least: float = 0.9, **how) -> DataFrame:

@@ -62,6 +62,88 @@ def test_a_large_family_costs_a_few_links_a_member(spark):
     assert {(r.id, r.part) for r in parts if r.id >= 600} == {(1002, 1002), (1003, 1002)}
 
 
+def _star(spark, variants=90):
+    """A text no hub order puts first, and variants like it of which hardly two are alike."""
+    rng = random.Random(9)
+    ids = [r.id for r in spark.range(variants + 1).orderBy(F.xxhash64("id").desc()).collect()]
+    base, rows = [f"word{i}" for i in range(200)], []
+    for i in ids[1:]:
+        words = list(base)
+        for at in rng.sample(range(5, 195, 6), 4):
+            words[at] = f"own{i}at{at}"
+        rows.append((i, " ".join(words)))
+    return ids[0], [(ids[0], " ".join(base)), *rows]
+
+
+def _parts(links):
+    """The least member of each member's group, by brute force."""
+    part = {}
+    for a, b in links:
+        one, two = part.setdefault(a, a), part.setdefault(b, b)
+        for k in [k for k, v in part.items() if v in (one, two)]:
+            part[k] = min(one, two)
+    return part
+
+
+def _like(rows, least=0.8):
+    sets = {i: _grams(t) for i, t in rows}
+    return {(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j])}
+
+
+def test_members_that_no_hub_is_like_are_compared_too(spark):
+    centre, rows = _star(spark)
+    want = _like(rows)
+    assert len(want) < 1.5 * len(rows) and all((min(i, centre), max(i, centre)) in want for i, _ in rows if i != centre)
+    docs = spark.createDataFrame([(i, t, "xyz"[i % 3]) for i, t in rows], "doc_id long, text string, source string").withColumn("seen_at", F.timestamp_seconds(F.lit(0)))
+    got = [(r.cluster_id, r["items"], r.sources) for r in consensus.coordinated_text(docs).collect()]
+    assert got == [(0, len(rows), 3)]
+
+
+def test_blocks_and_passes_leave_no_pair_out(spark, monkeypatch):
+    monkeypatch.setattr(consensus, "SETS", 8)
+    monkeypatch.setattr(consensus, "PASSES", (1, 2, None))
+    passes, named = [], consensus.cell_pairs
+    monkeypatch.setattr(consensus, "cell_pairs", lambda placed, least, most: passes.append(most) or named(placed, least, most))
+    _, rows = _star(spark, 60)
+    rows = [(f"k{i:03}", t) for i, t in rows]  # keys need not be numbers
+    rows += [(f"m{i:03}", " ".join(f"word{k}" for k in range(100 + i // 2)) + f" end{i}") for i in range(40)]
+    want = _like(rows)
+    links, parts = consensus.linked_sets(consensus.text_sets(spark.createDataFrame(rows, "id string, text string")), hubs=2)
+    assert {tuple(r) for r in links.collect()} <= want and passes[0] == 1
+    assert {r.id: r.part for r in parts.collect()} == _parts(want)
+
+
+def test_cells_name_all_pairs_of_other_parts(spark):
+    rng = random.Random(3)
+    ids = list(range(50))
+    sets = [(i, sorted({rng.randrange(60) for _ in range(rng.randrange(20, 90))})) for i in ids]
+    sets = spark.createDataFrame([(i, g, len(g)) for i, g in sets], "id long, grams array<long>, n int")
+    marks = {r.id: r for r in consensus.parities(sets).collect()}
+    met = spark.createDataFrame([(b, i, marks[i].n, [(90, 1), (91, 1)]) for b in (1, 2, 3) for i in ids if i % b == 0], "bucket long, id long, n int, hubs array<struct<id: long, n: int>>")
+    parts = spark.createDataFrame([(i, i % 2) for i in ids if i < 30 or i % 3 == 0], "id long, part long")
+    part = {i: i % 2 if i < 30 or i % 3 == 0 else i for i in ids}
+    want = set()
+    for i in ids:
+        for j in ids[i + 1 :]:
+            n, apart = marks[i].n + marks[j].n, sum((x ^ y) % 2**64 != 0 and ((x ^ y) % 2**64).bit_count() for x, y in zip(marks[i].marks, marks[j].marks))
+            if part[i] != part[j] and min(marks[i].n, marks[j].n) >= 0.4 * max(marks[i].n, marks[j].n) and (n - apart) / 2 >= (n - (n - apart) / 2) * 0.4:
+                want.add((i, j))
+    assert 100 < len(want) < 1000
+    marked = spark.createDataFrame([(r.id, r.marks) for r in marks.values()], "id long, marks array<long>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for block in (5, 100):
+            cells = consensus.beyond_hubs(met, parts, block).join(marked, "id")
+            assert cells.groupBy("cell").count().agg(F.max("count")).first()[0] <= (50 if block == 100 else 40)
+            assert {tuple(r) for r in consensus.cell_pairs(cells, 0.4, None).collect()} == want
+            few = [tuple(r) for r in consensus.cell_pairs(cells, 0.4, 1).collect()]
+            assert (None, None) in few and {f for f in few if f[0] is not None} < want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    together = met.withColumn("part", F.lit(0).cast("long")).select("id", "part").distinct()
+    assert consensus.beyond_hubs(met, together, 5).count() == 0
+
+
 def test_sets_and_bands_are_worked_out_once(spark, monkeypatch):
     plans = {}
 
@@ -152,6 +234,22 @@ def test_hot_buckets_are_split_and_hubs_serve_the_rest(spark):
     assert {parts[i] for i in range(300)} == {0} and 5000 not in parts
 
 
+def test_vectors_that_no_hub_is_near_are_compared_too(spark, monkeypatch):
+    monkeypatch.setattr(consensus, "VECTORS", 16)
+    rng = random.Random(12)
+    centre = [rng.gauss(0, 1) for _ in range(16)]
+    rows = []
+    for k in range(40):  # groups of three that no hyperplane tells apart, a little too far from each other
+        middle = [x + rng.gauss(0, 1e-6) for x in centre]
+        rows += [(3 * k + i, [x + rng.gauss(0, 1e-9) for x in middle]) for i in range(3)]
+    vectors = graph.written(spark.createDataFrame(rows, "id long, vector array<double>"), "v")
+    small, hot = consensus.split_buckets(graph.written(consensus.sketch_vectors(vectors, 16, 4, 7), "s"), 2, 20)
+    assert hot.select("id").distinct().count() == 120
+    for forest in (False, True):
+        parts = {r.id: r.part for r in graph.components(consensus.similar_vectors(vectors, 1 - 1e-14, tables=4, bits=2, most=20, forest=forest)).collect()}
+        assert parts == {i: i - i % 3 for i in range(120)}
+
+
 def test_consensus_counts_copies_and_voices(spark):
     rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.0], 2), (3, [0.99, 0.01], 2), (4, [0.0, 1.0], 1), (5, [0.0, 1.0], 1), (6, None, 3), (7, [0.0, 0.0], 1), (8, [0.0, 0.0], 2)]
     got = consensus.semantic_consensus(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
